@@ -43,7 +43,7 @@ ADAPTERS = {
         FROM labels""",
     # five classes with unnormalised scores, the true class favoured
     "votes": """
-        SELECT o_orderkey, CAST(substring(o_orderpriority, 1, 1) AS INT) - 1 AS y_true,
+        SELECT o_orderkey, o_orderstatus, CAST(substring(o_orderpriority, 1, 1) AS INT) - 1 AS y_true,
                (o_orderkey * 93) % 100 + CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 61 ELSE 1 END AS w0,
                (o_orderkey * 124 + 17) % 100 + CASE substring(o_orderpriority, 1, 1) WHEN '2' THEN 61 ELSE 1 END AS w1,
                (o_orderkey * 155 + 34) % 100 + CASE substring(o_orderpriority, 1, 1) WHEN '3' THEN 61 ELSE 1 END AS w2,
