@@ -122,7 +122,7 @@ MATCH = "x.level = a.risk_level AND (x.audience = 'all' OR (x.audience = 'indust
 
 
 @query("recommendations", sql(
-    f"SELECT area_id, risk_level, city_type, category, category_pos, pos, item FROM assessed a JOIN advice x ON {MATCH}", *ASSESSED_PARTS, ADVICE
+    f"SELECT area_id, risk_level, city_type, category, CAST(category_pos AS BIGINT) AS category_pos, CAST(pos AS BIGINT) AS pos, item FROM assessed a JOIN advice x ON {MATCH}", *ASSESSED_PARTS, ADVICE
 ))
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return advice.recommend(assessed(spark, sf_dir).select("area_id", "risk_level", "city_type"))
@@ -137,7 +137,7 @@ DISPLAY = "display(category, title, icon) AS (VALUES " + ", ".join(
 
 
 @query("recommendation_display", sql(
-    f"""SELECT a.area_id, a.risk_level, p.badge, p.timeframe, x.category, d.title, d.icon, x.pos, x.item
+    f"""SELECT a.area_id, a.risk_level, p.badge, p.timeframe, x.category, d.title, d.icon, CAST(x.pos AS BIGINT) AS pos, x.item
         FROM assessed a JOIN advice x ON {MATCH} LEFT JOIN display d ON d.category = x.category LEFT JOIN priority p ON p.level = a.risk_level""",
     *ASSESSED_PARTS, ADVICE, PRIORITY, DISPLAY,
 ))

@@ -10,6 +10,8 @@ from airsight.catalog.registry import dec, query, snap, sql
 from airsight.functions.prediction import prediction_record as record_of
 from airsight.functions.prediction import probability_percent as percent_of
 from airsight.operators import comparison, metrics
+from airsight.operators.profile import cv_summary
+from airsight.session import stage
 from airsight.sources.logs import parse_records
 
 CLASSES = range(5)
@@ -40,7 +42,7 @@ def voted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def by_class(predictions: DataFrame) -> DataFrame:
     """One row per prediction and class: is it the true class, and its score."""
-    return predictions.select("model_name", "y_true", F.posexplode("probabilities").alias("cls", "p")).select(
+    return predictions.select("model_name", "y_true", F.posexplode_outer("probabilities").alias("cls", "p")).select(
         "model_name", "cls", (F.col("y_true") == F.col("cls")).alias("positive"), "p"
     )
 
@@ -134,10 +136,8 @@ AUC = (
     "votes", VOTED, LONG, *AUC,
 ))
 def roc_auc_ovr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = by_class(voted(spark, sf_dir))
-    per = metrics.roc_auc_by_class(rows, "cls", "positive", "p", ["model_name"])
-    overall = metrics.roc_auc(rows, "cls", "positive", "p", ["model_name"])
-    return per.join(overall, "model_name").withColumn("auc", snap("auc", 6))
+    per = metrics.roc_auc_by_class(by_class(voted(spark, sf_dir)), "cls", "positive", "p", ["model_name"])
+    return per.join(metrics.weighted_auc(per, ["model_name"]), "model_name").withColumn("auc", snap("auc", 6))
 
 
 ROC = (
@@ -216,16 +216,17 @@ def compared_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of three models; only the ML ones have cross-validation scores."""
     rows = voted(spark, sf_dir)
     scored = metrics.classification_metrics(rows, "y_true", "y_pred", ["model_name"]).join(
-        metrics.roc_auc(by_class(rows), "cls", "positive", "p", ["model_name"]), "model_name"
+        metrics.weighted_auc(
+            metrics.roc_auc_by_class(by_class(rows), "cls", "positive", "p", ["model_name"]), ["model_name"]
+        ),
+        "model_name",
     )
     fold = ((F.col("o_orderkey") * 7919) % 10007 % 5).alias("fold")
     hit = F.when(F.col("y_true") == F.col("y_pred"), 1.0).otherwise(0.0)
     folds = rows.filter("model_name <> 'P'").groupBy("model_name", fold).agg(snap(F.avg(hit), 6).alias("score"))
-    from airsight.operators.profile import cv_summary
-
     ml = scored.join(cv_summary(folds, "score", ["model_name"]), "model_name").withColumn("type", F.lit("ML"))
     dl = scored.filter("model_name = 'P'").withColumn("type", F.lit("DL"))
-    return comparison.comparison([ml, dl], "roc_auc")
+    return stage(comparison.comparison([ml, dl], "roc_auc"), "comparison")  # one row per model, read several times
 
 
 @query("model_comparison", sql("SELECT * FROM compared", *COMPARED_PARTS))
@@ -241,7 +242,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     *COMPARED_PARTS, "forecasts", f"regressors AS ({_regression_sql('forecasts')})",
 ))
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classifiers, regressors = compared_models(spark, sf_dir), regression_metrics(spark, sf_dir)
+    classifiers, regressors = compared_models(spark, sf_dir), stage(regression_metrics(spark, sf_dir), "regressors")
     winners = {
         "classifier": comparison.best_classifier(classifiers),
         "classifier in training": comparison.best_classifier_in_training(classifiers),

@@ -49,7 +49,7 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", F.transform("embedding", lambda x: x.cast("double") * (F.col("vec_id") % 7 + 1)).alias("v")
     )
     sized = scaled.select("vec_id", snap(norm(F.col("v")), 6).alias("length"), unit(F.col("v")).alias("u"))
-    return sized.select("vec_id", "length", F.posexplode("u").alias("i", "x")).withColumn("x", snap("x", 6))
+    return sized.select("vec_id", "length", F.posexplode_outer("u").alias("i", "x")).withColumn("x", snap("x", 6))
 
 
 @query("vector_topk", sql("SELECT * FROM topk", "vectors", TOPK))

@@ -210,8 +210,7 @@ POLLUTANT_ERRORS = (
 
 def checked_pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = adapter(spark, sf_dir, "pollutants")
-    errors = validation.pollutant_errors({n: F.col(c) for n, c in POLLUTANT_COLUMNS.items()})
-    return inputs.select("o_orderkey", errors.alias("errors"))
+    return validation.check_pollutants(inputs, POLLUTANT_COLUMNS).select("o_orderkey", "errors")
 
 
 @query("validate_pollutants", sql(
@@ -249,9 +248,9 @@ def _health_message(name: str) -> str:
     "health",
 ))
 def validate_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = {"AQI": F.col("aqi"), "Humidity": F.col("humidity"), "Temperature": F.col("temperature")}
-    errors = validation.health_errors(given)
-    return adapter(spark, sf_dir, "health").select("record_id", F.array_join(errors, " | ").alias("errors"))
+    given = {"AQI": "aqi", "Humidity": "humidity", "Temperature": "temperature"}
+    checked = validation.check_health(adapter(spark, sf_dir, "health"), given)
+    return checked.select("record_id", F.array_join("errors", " | ").alias("errors"))
 
 
 @query("validate_risk_inputs", sql(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from airsight.functions.text import let
 from airsight.functions.vectors import argmax
 
 
@@ -22,10 +23,11 @@ def prediction_record(names: Column, probabilities: Column, model_type: str, mod
 
 def probability_percent(names: Column, probabilities: Column) -> Column:
     """Array of (class, percent with one decimal, is_top) for a probability chart."""
-    top = F.array_max(probabilities)
-    return F.transform(
-        F.arrays_zip(names.alias("cls"), probabilities.alias("p")),
-        lambda z: F.struct(
-            z["cls"].alias("cls"), F.round(z["p"] * 100, 1).alias("percent"), (z["p"] == top).alias("is_top")
-        ),
-    )
+
+    def entries(top: Column) -> Column:
+        return F.zip_with(
+            names, probabilities,
+            lambda n, p: F.struct(n.alias("cls"), F.round(p * 100, 1).alias("percent"), (p == top).alias("is_top")),
+        )
+
+    return let(F.array_max(probabilities), entries)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from airsight import config as cfg
-from airsight.functions.text import strip
+from airsight.functions.text import let, strip
 
 _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -21,22 +21,25 @@ def normalize_pollution(level: Column, reference: float = cfg.AQI_REFERENCE) ->
 
 
 def _lookup(key: Column, table: dict[str, float]) -> Column:
-    out = F.lit(None).cast("double")
-    for k, v in reversed(table.items()):
-        out = F.when(key == k, F.lit(v)).otherwise(out)
-    return out
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
 
 
 def health_score(label: Column) -> Column:
     """Exact label, then numeric label cut to its integer part, then the first contained label, else 50."""
     text = strip(label)
-    whole = F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double").try_cast("bigint").cast("string"))
-    lowered = F.lower(text)
-    contained = F.lit(cfg.HEALTH_DEFAULT_SCORE)
-    for k, v in reversed(cfg.HEALTH_SCORES.items()):
-        contained = F.when(lowered.contains(k.lower()), F.lit(v)).otherwise(contained)
+    whole = let(
+        text, lambda t: F.when(F.rlike(t, F.lit(_NUMBER)), t.try_cast("double").try_cast("bigint").cast("string"))
+    )
+
+    def first_contained(lowered: Column) -> Column:
+        out = F.lit(cfg.HEALTH_DEFAULT_SCORE)
+        for k, v in reversed(cfg.HEALTH_SCORES.items()):
+            out = F.when(lowered.contains(k.lower()), F.lit(v)).otherwise(out)
+        return out
+
+    # each stage runs only if the one before found nothing
     return F.coalesce(
-        _lookup(text, cfg.HEALTH_SCORES), _lookup(whole, cfg.HEALTH_SCORES), contained
+        _lookup(text, cfg.HEALTH_SCORES), _lookup(whole, cfg.HEALTH_SCORES), let(F.lower(text), first_contained)
     )
 
 

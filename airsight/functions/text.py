@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +11,20 @@ from pyspark.sql import functions as F
 WHITESPACE = r"\s\x{1c}-\x{1f}\x{85}\p{Z}"
 
 
+#: The same characters one by one, for trimming (a fixed value).
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARS))
 
 
 def has_content(text: Column) -> Column:

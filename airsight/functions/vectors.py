@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from airsight.functions.text import let
+
 
 def as_doubles(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double"))
@@ -16,8 +18,7 @@ def norm(v: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """Unit-length vector; a zero vector stays zero."""
-    length = norm(v)
-    return F.transform(as_doubles(v), lambda x: F.when(length > 0, x / length).otherwise(x))
+    return let(norm(v), lambda n: F.transform(as_doubles(v), lambda x: F.when(n > 0, x / n).otherwise(x)))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -25,10 +26,9 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def softmax(v: Column) -> Column:
-    top = F.array_max(v)
-    raised = F.transform(as_doubles(v), lambda x: F.exp(x - top))
-    total = F.aggregate(raised, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(raised, lambda x: x / total)
+    raised = let(F.array_max(v), lambda top: F.transform(as_doubles(v), lambda x: F.exp(x - top)))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda s, x: s + x)
+    return let(raised, lambda e: let(total(e), lambda t: F.transform(e, lambda x: x / t)))
 
 
 def argmax(v: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +11,8 @@ from airsight.functions.risk import is_industrial
 
 
 def constant_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
-    """A small literal table, built by the JVM as a local relation."""
-    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small literal table (a local relation in the plan)."""
+    return spark.createDataFrame(pa.table({n: list(values) for n, values in zip(names, zip(*rows), strict=True)}))
 
 
 def recommendation_rows(spark: SparkSession) -> DataFrame:

@@ -71,7 +71,8 @@ def chunk_documents(
     kept = [c for c in docs.columns if c not in (text, filename, category)]
     return pieces.select(
         *kept, F.col(filename).alias("source"), F.col(category).alias("category"), name.alias("_name"),
-        F.posexplode("_pieces").alias("chunk_index", "text"),
+        # every remaining text has a chunk; the outer form spares the optimizer's extra "is it empty" evaluation
+        F.posexplode_outer("_pieces").alias("chunk_index", "text"),
     ).select(
         *kept, "source", "category", F.col("chunk_index").cast("bigint"), "text",
         F.concat("_name", F.lit("_chunk_"), F.col("chunk_index").cast("string")).alias("chunk_id"),

@@ -118,13 +118,18 @@ def _number_large(
 
 
 def running(
-    df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike], aggs: dict[str, tuple[str, str]]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[ColumnLike],
+    aggs: dict[str, tuple[str, str]],
+    fits: bool = False,
 ) -> DataFrame:
     """Running totals from the first row of the key to the current row.
 
     ``aggs`` maps an output column to (``sum`` | ``max`` | ``min``, input column). ``order`` must be unique in a key.
+    ``fits`` tells that no key can exceed the task limit, which saves counting them.
     """
-    hot = large_groups(df, keys)
+    hot = None if fits else large_groups(df, keys)
 
     def direct(d: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -155,6 +160,7 @@ def sliding(
     before: int,
     after: int,
     build: Callable[[WindowSpec], dict[str, Column]],
+    fits: bool = False,
 ) -> DataFrame:
     """Window expressions that look at most ``before`` rows back and ``after`` rows ahead.
 
@@ -166,7 +172,7 @@ def sliding(
         new = build(Window.partitionBy(*keys).orderBy(*order))
         return d.select("*", *[c.alias(n) for n, c in new.items()])
 
-    hot = large_groups(df, keys)
+    hot = None if fits else large_groups(df, keys)
     if hot is None:
         return direct(df)
     size = max(max_group_rows(df.sparkSession), before, after, 1)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,23 +63,47 @@ def dataset_audit(tables: dict[str, DataFrame | None], errors: dict[str, str] |
     return rows
 
 
+_MOMENTS = "x int, y int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair over rows where both are present, in long form (x, y, r).
 
-    One pass, no rows multiplied: each unordered pair is three aggregates. A constant column gives NULL.
+    Each task turns its rows into pairwise moments by matrix products and emits them once, so
+    columns x columns rows per task are all that is shuffled. Values are shifted by the column minimum,
+    which keeps the moments accurate and a constant column at exactly zero variance (r is NULL).
     """
-    pairs = list(combinations_with_replacement(cols, 2))
-    aggs = []
-    for i, (x, y) in enumerate(pairs):
-        both = number(x).isNotNull() & number(y).isNotNull()
-        a, b = F.when(both, number(x)), F.when(both, number(y))
-        spread = F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
-        aggs.append(F.try_divide(F.covar_pop(a, b), spread).alias(f"r{i}"))
-    cells = []
-    for i, (x, y) in enumerate(pairs):
-        for left, right in {(x, y), (y, x)}:
-            cells.append(F.struct(F.lit(left).alias("x"), F.lit(right).alias("y"), F.col(f"r{i}").alias("r")))
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+    found = df.agg(*[F.min(number(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shift = np.array([found[f"m{i}"] or 0.0 for i in range(len(cols))])
+    k = len(cols)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, k, k))
+        for batch in batches:
+            raw = np.column_stack([c.to_numpy(zero_copy_only=False).astype("float64") for c in batch.columns])
+            seen = ~np.isnan(raw)
+            v, m = np.where(seen, raw - shift, 0.0), seen.astype("float64")
+            sx, sxx = v.T @ m, (v * v).T @ m
+            total += np.stack([m.T @ m, sx, sx.T, sxx, sxx.T, v.T @ v])
+        x, y = np.divmod(np.arange(k * k), k)
+        columns = [pa.array(x, pa.int32()), pa.array(y, pa.int32()), *[pa.array(t.ravel()) for t in total]]
+        yield pa.RecordBatch.from_arrays(columns, names=["x", "y", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    sums = (
+        df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)])
+        .mapInArrow(moments, _MOMENTS)
+        .groupBy("x", "y")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    )
+    n = F.nullif(F.col("n"), F.lit(0.0))
+
+    def spread(square: str, plain: str) -> Column:
+        var = F.col(square) - F.col(plain) * F.col(plain) / n
+        return F.when(var > F.col(square) * 1e-14, var)  # below that only rounding is left
+
+    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.get(names, F.col("x")).alias("x"), F.get(names, F.col("y")).alias("y"), r.alias("r"))
 
 
 def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from airsight import advice_text as text
 from airsight import config as cfg
-from airsight.functions.text import collapse, strip, token_estimate
+from airsight.functions.text import collapse, has_content, strip, token_estimate
 from airsight.session import max_broadcast_bytes
 
 _CITATION = r"\[([^\[\]]+?\.[a-zA-Z]{2,5})\]"  # a fixed value
@@ -221,7 +221,9 @@ def citation_result(answers: DataFrame, chunks: DataFrame, query: str, model: st
 
 def dedup_chunks(chunks: DataFrame, query: str, rank: str = "rank") -> DataFrame:
     """Drop chunks whose opening text repeats a more similar one; empty texts are dropped."""
-    marked = chunks.withColumn("_mark", F.left(collapse(F.col("text")), F.lit(cfg.FINGERPRINT_CHARS))).filter("_mark <> ''")
+    marked = chunks.filter(has_content(F.col("text"))).withColumn(
+        "_mark", F.left(collapse(F.col("text")), F.lit(cfg.FINGERPRINT_CHARS))
+    )
     w = Window.partitionBy(query, "_mark").orderBy(F.desc("similarity"), rank)
     return marked.withColumn("_at", F.row_number().over(w)).filter("_at = 1").drop("_at", "_mark")
 
