@@ -13,6 +13,7 @@ from airsight.catalog.tables import WS
 from airsight.functions.vectors import l2_normalize as unit
 from airsight.functions.vectors import norm
 from airsight.operators import retrieval
+from airsight.session import stage
 
 # every vector is a query against all vectors
 TOPK = f"""topk AS (SELECT query_id, vec_id, rank, {dec('greatest(0, sim)', 4)} AS similarity FROM (
@@ -37,6 +38,11 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk(spark, sf_dir).join(vectors, "vec_id").join(texts, "vec_id")
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrieved chunks kept as a table, for steps that read them more than once."""
+    return stage(found(spark, sf_dir), "retrieved")
+
+
 @query("l2_normalize", sql(
     f"""SELECT vec_id, i, {dec('x / sqrt(sum(x * x) OVER (PARTITION BY vec_id))', 6)} AS x,
                {dec('sqrt(sum(x * x) OVER (PARTITION BY vec_id))', 6)} AS length
@@ -98,7 +104,7 @@ def hallucinated_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     *FOUND_PARTS, SOURCES, "answers", CITED, UNKNOWN,
 ))
 def citation_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = retrieval.citation_result(adapter(spark, sf_dir, "answers"), found(spark, sf_dir), "query_id", "local")
+    rows = retrieval.citation_result(adapter(spark, sf_dir, "answers"), stored(spark, sf_dir), "query_id", "local")
     shown = F.transform("sources", lambda s: F.concat(s["filename"], F.lit("="), s["similarity"].cast("string")))
     return rows.select(
         "query_id", "answer", F.coalesce(F.array_join(shown, ", "), F.lit("")).alias("sources"), "confidence",
@@ -135,7 +141,7 @@ def dedup_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("context_budget", sql("SELECT * FROM entries_", *FOUND_PARTS, *_context("found", "_", 2500)[:4]))
 def context_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.context_entries(retrieval.dedup_chunks(found(spark, sf_dir), "query_id"), "query_id")
+    return retrieval.context_entries(found(spark, sf_dir), "query_id")
 
 
 QUESTIONS = """questions AS (SELECT v.vec_id AS query_id, concat('  Which limits apply near ', v.source, '? ') AS question,
@@ -187,7 +193,7 @@ def _prompt_sql(suffix: str, with_prediction: bool) -> str:
     _prompt_sql("_", True), *FOUND_PARTS, *_context("found", "_", 2500), *ASSESSED_PARTS, QUESTIONS
 ))
 def prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.prompt_table(questions(spark, sf_dir), found(spark, sf_dir), "query_id")
+    return retrieval.prompt_table(questions(spark, sf_dir), stored(spark, sf_dir), "query_id")
 
 
 @query("prompt_table_reduced", sql(
@@ -196,4 +202,4 @@ def prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     *_context("few", "_", 1200), *ASSESSED_PARTS, QUESTIONS,
 ))
 def prompt_table_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.reduced_prompt_table(questions(spark, sf_dir), found(spark, sf_dir), "query_id")
+    return retrieval.reduced_prompt_table(questions(spark, sf_dir), stored(spark, sf_dir), "query_id")

@@ -221,34 +221,48 @@ def citation_result(answers: DataFrame, chunks: DataFrame, query: str, model: st
 
 def dedup_chunks(chunks: DataFrame, query: str, rank: str = "rank") -> DataFrame:
     """Drop chunks whose opening text repeats a more similar one; empty texts are dropped."""
-    marked = chunks.filter(has_content(F.col("text"))).withColumn(
-        "_mark", F.left(collapse(F.col("text")), F.lit(cfg.FINGERPRINT_CHARS))
-    )
+    marked = chunks.filter(has_content(F.col("text"))).withColumn("_flat", collapse(F.col("text")))
+    return _first_per_opening(marked, query, rank).drop("_flat")
+
+
+def _first_per_opening(flat: DataFrame, query: str, rank: str) -> DataFrame:
     w = Window.partitionBy(query, "_mark").orderBy(F.desc("similarity"), rank)
+    marked = flat.withColumn("_mark", F.left("_flat", F.lit(cfg.FINGERPRINT_CHARS)))
     return marked.withColumn("_at", F.row_number().over(w)).filter("_at = 1").drop("_at", "_mark")
 
 
+def _flat_unique(chunks: DataFrame, query: str, rank: str) -> DataFrame:
+    """De-duplicated chunks with their text already on one line."""
+    flat = chunks.filter(has_content(F.col("text"))).select(
+        query, rank, "similarity", "source", collapse(F.col("text")).alias("_flat")
+    )
+    return _first_per_opening(flat, query, rank)
+
+
 def context_entries(
-    unique: DataFrame, query: str, max_chars: int = cfg.MAX_CONTEXT_CHARS, rank: str = "rank"
+    chunks: DataFrame, query: str, max_chars: int = cfg.MAX_CONTEXT_CHARS, rank: str = "rank"
 ) -> DataFrame:
-    """Numbered context entries that fit the budget; the one crossing it is cut and marked with an ellipsis.
+    """De-duplicated, numbered context entries that fit the budget; the one crossing it is cut and
+    marked with an ellipsis."""
+    return _entries(_flat_unique(chunks, query, rank), query, max_chars, rank)
 
-    An entry is kept while the entries before it, uncut, stay below the budget. Each takes at least
-    seven characters, so later ranks than budget / 7 + 1 cannot fit and are cut before the running sum.
-    """
+
+def _entries(unique: DataFrame, query: str, max_chars: int, rank: str) -> DataFrame:
+    """An entry is kept while the entries before it, uncut, stay below the budget. Each takes at least
+    seven characters, so ranks beyond budget / 7 + 1 cannot fit and are cut before the running sum."""
     order = Window.partitionBy(query).orderBy(F.desc("similarity"), rank)
     numbered = unique.withColumn("entry_no", F.row_number().over(order)).filter(F.col("entry_no") <= max_chars // 7 + 1)
     head = F.concat(F.lit("["), F.col("entry_no").cast("string"), F.lit("] "), "source", F.lit(":\n"))
-    shaped = numbered.withColumn("_text", collapse(F.col("text"))).withColumn("_head", head)
-    full = F.length("_head") + F.length("_text")
+    shaped = numbered.withColumn("_head", head)
+    full = F.length("_head") + F.length("_flat")
     before = F.coalesce(
         F.sum(full).over(Window.partitionBy(query).orderBy("entry_no").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0),
     )
     placed = shaped.withColumn("_left", F.lit(max_chars) - before).filter("_left > 0")
     body = F.when(
-        F.length("_text") > F.col("_left"), F.concat(F.left("_text", F.col("_left").cast("int")), F.lit("…"))
-    ).otherwise(F.col("_text"))
+        F.length("_flat") > F.col("_left"), F.concat(F.left("_flat", F.col("_left").cast("int")), F.lit("…"))
+    ).otherwise(F.col("_flat"))
     return placed.select(
         query, F.col("entry_no").cast("bigint"), "source", F.concat("_head", body).alias("entry")
     )
@@ -257,15 +271,20 @@ def context_entries(
 def context_blocks(
     chunks: DataFrame, query: str, max_chars: int = cfg.MAX_CONTEXT_CHARS, rank: str = "rank"
 ) -> DataFrame:
-    """Packed context per query with its length and the number of distinct chunks."""
-    unique = dedup_chunks(chunks, query, rank)
-    entries = context_entries(unique, query, max_chars, rank)
+    """Packed context per query with its length and the number of distinct chunks.
+
+    Reads ``chunks`` twice, so pass a stored (or staged) table when it comes from a search.
+    """
+    entries = _entries(_flat_unique(chunks, query, rank), query, max_chars, rank)
     listed = F.transform(F.array_sort(F.collect_list(F.struct("entry_no", "entry"))), lambda e: e["entry"])
     # bounded by the budget: never more than max_chars / 7 + 1 entries
     blocks = entries.groupBy(query).agg(
         F.array_join(listed, "\n\n").alias("context"), F.sum(F.length("entry")).alias("context_chars")
     )
-    counts = unique.groupBy(query).agg(F.count(F.lit(1)).alias("chunks_used"))
+    opening = F.left(collapse(F.col("text")), F.lit(cfg.FINGERPRINT_CHARS))
+    counts = chunks.filter(has_content(F.col("text"))).groupBy(query).agg(
+        F.countDistinct(opening).alias("chunks_used")
+    )
     return counts.join(blocks, query, "left")
 
 
