@@ -37,8 +37,15 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 def project_complete(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Only the required columns, only rows where all are present."""
-    kept = require_columns(df, required).select(*[col(c) for c in required])
-    return kept.na.drop()
+    return drop_incomplete(require_columns(df, required).select(*[col(c) for c in required]))
+
+
+def drop_incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Rows where all of ``cols`` (default: every column) are present."""
+    present = F.lit(True)
+    for c in cols or df.columns:
+        present = present & col(c).isNotNull()
+    return df.filter(present)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from airsight import config as cfg
 from airsight.operators.cleaning import (
-    col, decode_classes, drop_all_null_columns, fill_missing, fit_medians, nan_to_null, parse_timestamps,
+    col, decode_classes, drop_all_null_columns, drop_incomplete, fill_missing, fit_medians, nan_to_null, parse_timestamps,
     project_complete, require_columns, sentinel_to_null,
 )
 
@@ -41,7 +41,7 @@ def read_health_impact(spark: SparkSession, path: str) -> DataFrame:
     """Health table with the class code replaced by its name; rows with unknown codes are dropped."""
     wanted = [cfg.HEALTH_ID, *cfg.HEALTH_FEATURES, cfg.HEALTH_TARGET]
     raw = require_columns(nan_to_null(read_csv(spark, path, wanted)), wanted)
-    complete = raw.na.drop(subset=[cfg.HEALTH_TARGET])
+    complete = drop_incomplete(raw, [cfg.HEALTH_TARGET])
     named = decode_classes(complete, cfg.HEALTH_TARGET, "_name").drop(cfg.HEALTH_TARGET)
     return named.withColumnRenamed("_name", cfg.HEALTH_TARGET)
 
