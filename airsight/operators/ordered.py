@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airsight.session import max_group_rows, stage
 
@@ -175,15 +178,8 @@ def sliding(
     hot = None if fits else large_groups(df, keys)
     if hot is None:
         return direct(df)
-    size = max(max_group_rows(df.sparkSession), before, after, 1)
     cold_rows, hot_rows = _split(df, hot, keys)
-    numbered = _number_large(hot_rows, keys, order, "_rn")
-    chunk = F.floor((F.col("_rn") - 1) / size)
-    inside = (F.col("_rn") - 1) % size
-    copies = F.array_compact(
-        F.array(chunk, F.when(inside >= size - before, chunk + 1), F.when(inside < after, chunk - 1))
-    )
-    spread = numbered.withColumn("_home", chunk).withColumn("_chunk", F.explode(copies))
+    spread = _chunks(hot_rows, keys, order, before, after)
     new = build(Window.partitionBy(*keys, "_chunk").orderBy("_rn"))
     done = (
         spread.select("*", *[c.alias(n) for n, c in new.items()])
@@ -191,3 +187,53 @@ def sliding(
         .drop("_home", "_chunk", "_rn")
     )
     return done if cold_rows is None else done.unionByName(direct(cold_rows))
+
+
+def _chunks(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike], before: int, after: int
+) -> DataFrame:
+    """Rows with their position ``_rn`` and own chunk ``_home``, repeated in each ``_chunk`` whose frames reach them."""
+    size = max(max_group_rows(rows.sparkSession), before, after, 1)
+    numbered = _number_large(rows, keys, order, "_rn")
+    chunk = F.floor((F.col("_rn") - 1) / size)
+    inside = (F.col("_rn") - 1) % size
+    copies = F.array_compact(
+        F.array(chunk, F.when(inside >= size - before, chunk + 1), F.when(inside < after, chunk - 1))
+    )
+    return numbered.withColumn("_home", chunk).withColumn("_chunk", F.explode(copies))
+
+
+def sliding_arrow(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    before: int,
+    after: int,
+    compute: Callable[[pa.Table], dict[str, pa.Array]],
+    names: Sequence[str],
+) -> DataFrame:
+    """Like ``sliding`` for wide frames: ``compute`` gets one ordered group and returns the new double columns ``names``.
+
+    A window function visits every row of a moving frame again for each row; incremental kernels over an
+    Arrow table do not, which is an order of magnitude faster for frames of a hundred rows and more.
+    """
+
+    def apply_to(d: DataFrame, group: Sequence[str], by: Sequence[str]) -> DataFrame:
+        sort_keys = [(c, "ascending") for c in by]
+
+        def per_group(table: pa.Table) -> pa.Table:
+            ordered = table.take(pc.sort_indices(table, sort_keys=sort_keys, null_placement="at_start"))
+            for name, values in compute(ordered).items():
+                ordered = ordered.append_column(name, values)
+            return ordered
+
+        new = [T.StructField(n, T.DoubleType()) for n in names]
+        return d.groupBy(*group).applyInArrow(per_group, T.StructType([*d.schema.fields, *new]))
+
+    hot = large_groups(df, keys)
+    if hot is None:
+        return apply_to(df, keys, order)
+    cold_rows, hot_rows = _split(df, hot, keys)
+    spread = _chunks(hot_rows, keys, order, before, after)
+    done = apply_to(spread, [*keys, "_chunk"], ["_rn"]).filter("_home = _chunk").drop("_home", "_chunk", "_rn")
+    return done if cold_rows is None else done.unionByName(apply_to(cold_rows, keys, order))
