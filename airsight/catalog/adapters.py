@@ -50,11 +50,11 @@ ADAPTERS = {
                (o_orderkey * 186 + 51) % 100 + CASE substring(o_orderpriority, 1, 1) WHEN '4' THEN 61 ELSE 1 END AS w3,
                (o_orderkey * 217 + 68) % 100 + CASE substring(o_orderpriority, 1, 1) WHEN '5' THEN 61 ELSE 1 END AS w4
         FROM orders""",
-    # actual and predicted values with zero targets, per model
+    # actual and predicted values (in thousands) with zero targets, per model
     "forecasts": """
         SELECT o_orderkey, o_orderpriority AS model_name, o_orderdate, o_orderstatus,
-               CASE WHEN o_orderkey % 23 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice END AS y_true,
-               o_totalprice * (CAST(90 AS DOUBLE) + o_orderkey % 21) / CAST(100 AS DOUBLE) AS y_pred
+               CASE WHEN o_orderkey % 23 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice / CAST(1000 AS DOUBLE) END AS y_true,
+               o_totalprice * (CAST(90 AS DOUBLE) + o_orderkey % 21) / CAST(100000 AS DOUBLE) AS y_pred
         FROM orders""",
     # files of a corpus
     "files": """
