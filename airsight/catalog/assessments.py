@@ -65,8 +65,9 @@ def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT area_id, risk_score, pollution_factor, health_impact_factor, industrial_factor, trend_factor FROM scored", "areas", FACTORS, SCORED
 ))
 def risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = risk.risk_score(F.col("pollution_level"), F.col("health_impact"), F.col("city_type"), F.col("trend"))
-    return adapter(spark, sf_dir, "areas").select("area_id", score.alias("r")).select("area_id", "r.*")
+    areas = adapter(spark, sf_dir, "areas")
+    scored = risk.with_risk_score(areas, "pollution_level", "health_impact", "city_type", "trend")
+    return scored.select("area_id", "risk_score", *cfg.RISK_WEIGHTS)
 
 
 @query("risk_level", sql(

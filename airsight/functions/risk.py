@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsight import config as cfg
@@ -13,7 +15,9 @@ _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 def clamp(x: Column, low: float = 0.0, high: float = 100.0) -> Column:
     """Keep x inside [low, high]; NaN and NULL give NULL."""
-    return F.when(x.isNotNull() & ~F.isnan(x), F.least(F.lit(high), F.greatest(F.lit(low), x)))
+    return let(
+        F.nanvl(x, F.lit(None).cast("double")), lambda v: F.when(v.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), v)))
+    )
 
 
 def normalize_pollution(level: Column, reference: float = cfg.AQI_REFERENCE) -> Column:
@@ -51,11 +55,11 @@ def trend_score(trend: Column) -> Column:
     return F.coalesce(_lookup(F.lower(strip(trend)), cfg.TREND_SCORES), F.lit(cfg.TREND_SCORES["stable"]))
 
 
-def risk_score(
+def risk_factors(
     pollution: Column, health: Column, city_type: Column, trend: Column, reference: float = cfg.AQI_REFERENCE
-) -> Column:
-    """Struct of the 0-100 score and its four factors, two decimals each."""
-    factors = {
+) -> dict[str, Column]:
+    """The four factors on a 0-100 scale, unrounded."""
+    return {
         "pollution_factor": normalize_pollution(pollution, reference),
         "health_impact_factor": health_score(health),
         "industrial_factor": F.when(is_industrial(city_type), F.lit(cfg.INDUSTRIAL_SCORE)).otherwise(
@@ -63,28 +67,46 @@ def risk_score(
         ),
         "trend_factor": trend_score(trend),
     }
-    total = None
-    for name, weight in cfg.RISK_WEIGHTS.items():
-        term = F.lit(weight) * factors[name]
-        total = term if total is None else total + term
-    return F.struct(
-        F.round(clamp(total), 2).alias("risk_score"), *[F.round(v, 2).alias(k) for k, v in factors.items()]
+
+
+def weighted_score(factors: dict[str, Column]) -> Column:
+    """Weighted sum of the factors, clamped, two decimals."""
+    terms = [F.lit(weight) * factors[name] for name, weight in cfg.RISK_WEIGHTS.items()]
+    return F.round(clamp(reduce(lambda x, y: x + y, terms)), 2)
+
+
+def with_risk_score(
+    df: DataFrame, pollution: str, health: str, city_type: str, trend: str, reference: float = cfg.AQI_REFERENCE
+) -> DataFrame:
+    """Adds ``risk_score`` and its factors. The factors get a projection of their own, so each is computed once."""
+    raw = {name: f"_{name}" for name in cfg.RISK_WEIGHTS}
+    factors = risk_factors(F.col(pollution), F.col(health), F.col(city_type), F.col(trend), reference)
+    known = df.withColumns({raw[name]: f for name, f in factors.items()})
+    return known.select(
+        *df.columns,
+        weighted_score({name: F.col(c) for name, c in raw.items()}).alias("risk_score"),
+        *[F.round(c, 2).alias(name) for name, c in raw.items()],
     )
 
 
 def _band(score: Column, field: str, gaps: str) -> Column:
     pick = (lambda level: level) if field == "level" else (lambda level: cfg.RISK_BANDS[level][2])
-    if gaps == "contiguous":
+    if gaps not in ("reference", "contiguous"):
+        raise ValueError(f"gaps must be 'reference' or 'contiguous', got {gaps!r}")
+
+    def closed(s: Column) -> Column:
         out = F.lit(pick("Critical"))
         for level in ("Alert", "Caution", "Safe"):
-            out = F.when(score <= cfg.RISK_BANDS[level][1], pick(level)).otherwise(out)
-        return F.when(score.isNotNull(), out)
-    if gaps != "reference":
-        raise ValueError(f"gaps must be 'reference' or 'contiguous', got {gaps!r}")
-    out = F.when(score <= 0, pick("Safe")).otherwise(pick("Critical"))
-    for level, (low, high, _) in reversed(cfg.RISK_BANDS.items()):
-        out = F.when(score.between(low, high), pick(level)).otherwise(out)
-    return F.when(score.isNotNull(), out)
+            out = F.when(s <= cfg.RISK_BANDS[level][1], pick(level)).otherwise(out)
+        return F.when(s.isNotNull(), out)
+
+    def integer_bands(s: Column) -> Column:
+        out = F.when(s <= 0, pick("Safe")).otherwise(pick("Critical"))
+        for level, (low, high, _) in reversed(cfg.RISK_BANDS.items()):
+            out = F.when(s.between(low, high), pick(level)).otherwise(out)
+        return F.when(s.isNotNull(), out)
+
+    return let(score, closed if gaps == "contiguous" else integer_bands)
 
 
 def risk_level(score: Column, gaps: str = "reference") -> Column:
@@ -98,10 +120,13 @@ def risk_color(score: Column, gaps: str = "reference") -> Column:
 
 
 def pollution_severity(aqi: Column) -> Column:
-    out = F.lit("Severe")
-    for name, (low, high) in reversed(cfg.SEVERITY_BANDS.items()):
-        out = F.when((aqi >= low) & (aqi < high), name).otherwise(out)
-    return F.when(aqi.isNotNull(), out)
+    def bands(v: Column) -> Column:
+        out = F.lit("Severe")
+        for name, (low, high) in reversed(cfg.SEVERITY_BANDS.items()):
+            out = F.when((v >= low) & (v < high), name).otherwise(out)
+        return F.when(v.isNotNull(), out)
+
+    return let(aqi, bands)
 
 
 def factor_contribution(factor: Column, name: str) -> Column:

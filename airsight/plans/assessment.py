@@ -28,7 +28,7 @@ def assess(
     """Unified assessment per area; row-local, so it also runs on a streaming table."""
     next_level = F.col(predicted) if predicted else F.lit(None).cast("double")
     direction = F.col(trend) if trend else F.lit("stable")
-    scored = areas.select(
+    plain = areas.select(
         *keep,
         F.col(city_type).alias("city_type"),
         F.round(F.col(city_confidence) * 100, 1).alias("city_type_confidence"),
@@ -38,13 +38,12 @@ def assess(
         risk.pollution_severity(F.col(pollution)).alias("pollution_severity"),
         F.when(next_level != 0, F.round(next_level, 2)).alias("predicted_pollution"),
         direction.alias("trend"),
-        risk.risk_score(F.col(pollution), F.col(health), F.col(city_type), direction).alias("_r"),
-    )
-    levelled = scored.select(
-        *[c for c in scored.columns if c != "_r"], "_r.*",
-        risk.risk_level(F.col("_r.risk_score"), gaps).alias("risk_level"),
-        risk.risk_color(F.col("_r.risk_score"), gaps).alias("risk_color"),
+        F.col(pollution).alias("_level"),
     )
+    scored = risk.with_risk_score(plain, "_level", "health_impact", "city_type", "trend").drop("_level")
+    levelled = scored.withColumns({
+        "risk_level": risk.risk_level(F.col("risk_score"), gaps), "risk_color": risk.risk_color(F.col("risk_score"), gaps),
+    })
     summary = F.concat(
         "risk_level", F.lit(" risk area — "), "city_type", F.lit(" classification with "),
         F.lower("pollution_severity"), F.lit(" pollution levels and "), F.lower("health_impact"),
