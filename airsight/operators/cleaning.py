@@ -168,9 +168,17 @@ def fit_min_max(df: DataFrame, cols: Sequence[str]) -> Scaler:
     return _fit_scaler(df, cols, F.min, lambda c: F.max(c) - F.min(c))
 
 
+#: A longer class list is taken for a mistake, such as an id used as label.
+MAX_CLASSES = 10_000
+
+
 def fit_labels(df: DataFrame, label: str) -> list[str]:
-    """Distinct labels in alphabetical order (a class list, so small)."""
-    return [r[0] for r in df.select(F.col(label).cast("string")).distinct().orderBy(label).collect() if r[0] is not None]
+    """Distinct labels in alphabetical order; fails if there are too many to be classes."""
+    distinct = df.select(F.col(label).cast("string").alias("l")).filter("l is not null").distinct()
+    labels = [r["l"] for r in distinct.limit(MAX_CLASSES + 1).collect()]
+    if len(labels) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return sorted(labels)
 
 
 def encode_labels(df: DataFrame, label: str, labels: Sequence[str], out: str) -> DataFrame:

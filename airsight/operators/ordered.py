@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airsight.session import max_group_rows, stage
+from airsight.session import lookup, max_group_rows, stage
 
 ColumnLike = Column | str
 
@@ -75,11 +75,18 @@ def _carry(per_block: DataFrame, keys: Sequence[str], exprs: dict[str, Column])
 
 
 def _join_blocks(blocks: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = carry.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_block").alias("_b"),
-                           *[c for c in carry.columns if c not in keys and c != "_block"])
-    match = blocks["_block"] == renamed["_b"]
+    """Attach the carried totals: one row per key and block, so few even for very long keys."""
+    renamed = lookup(
+        carry.select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+            F.col("_block").alias("_b"),
+            *[c for c in carry.columns if c not in keys and c != "_block"],
+        ),
+        "carry",
+    )
+    match = F.col("_block") == F.col("_b")
     for i, k in enumerate(keys):
-        match = match & blocks[k].eqNullSafe(renamed[f"_k{i}"])
+        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     return blocks.join(renamed, match, "left").drop("_b", *[f"_k{i}" for i in range(len(keys))])
 
 

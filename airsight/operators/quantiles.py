@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsight.operators.ordered import row_numbers, running
-from airsight.session import max_group_rows
+from airsight.session import lookup, max_group_rows, stage
 
 #: percentile_approx returns a value whose rank is off by at most rows / _ACCURACY.
 _ACCURACY = 10_000
@@ -71,18 +71,27 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
 
 def rank_thresholds(
-    df: DataFrame, keys: Sequence[str], order: str, tie: str, ranks: dict[str, Column], size: str = "n"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    tie: str,
+    ranks: dict[str, Column],
+    size: str = "n",
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Per key: its row count and the (order, tie) pair found at each requested 1-based rank.
 
-    ``ranks`` maps a name to an expression over the row count column ``size``; rank 0 gives NULL.
+    ``ranks`` maps a name to an expression over the row count column ``size`` and the per-key table ``facts``;
+    rank 0 gives NULL.
     The pair is returned as struct column ``name``, so "row is among the first r" is a plain comparison.
-    Only rows between two sketch values around the rank are ever ranked.
+    Only rows between two sketch values around the rank are ever ranked. The result is ready to be joined back.
     """
     pair = F.struct(F.col(order).alias("o"), F.col(tie).alias("t"))
     slim = df.select(*keys, order, tie)
     names = list(ranks)
     sizes = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias(size))
+    if facts is not None:
+        sizes = sizes.join(facts, list(keys))
     asked = sizes.select(*keys, size, *[ranks[n].cast("bigint").alias(f"_r_{n}") for n in names])
     # a sketch over evenly spaced probabilities brackets any rank without knowing it in advance
     steps = 1000
@@ -96,7 +105,7 @@ def rank_thresholds(
         ).withColumn(
             f"_hi_{n}", F.element_at("_grid", F.least(F.ceil(share) + 1, F.lit(steps)).cast("int") + 1)
         )
-    info = info.drop("_grid")
+    info = lookup(info.drop("_grid"), "rank-info")
     tagged = slim.join(info, list(keys))
     below = tagged.groupBy(*keys).agg(
         *[F.count(F.when(F.col(order) < F.col(f"_lo_{n}"), 1)).alias(f"_b_{n}") for n in names]
@@ -107,8 +116,8 @@ def rank_thresholds(
             F.when(F.col(order).between(F.col(f"_lo_{n}"), F.col(f"_hi_{n}")), F.lit(n)) for n in names
         ]))).alias("_which"),
     )
-    ranked = row_numbers(near, [*keys, "_which"], [order, tie], "_rn")
-    wanted = asked.join(below, list(keys)).select(
+    ranked = row_numbers(stage(near, "rank-near"), [*keys, "_which"], [order, tie], "_rn")
+    wanted = info.join(below, list(keys)).select(
         *keys,
         F.explode(F.array(*[
             F.struct(F.lit(n).alias("_which"), (F.col(f"_r_{n}") - F.col(f"_b_{n}")).alias("_at")) for n in names
@@ -116,4 +125,4 @@ def rank_thresholds(
     ).select(*keys, "w.*")
     hits = ranked.join(wanted, [*keys, "_which"]).filter(F.col("_rn") == F.col("_at"))
     found = hits.groupBy(*keys).agg(*[F.max(F.when(F.col("_which") == n, pair)).alias(n) for n in names])
-    return sizes.join(found, list(keys), "left")
+    return lookup(info.select(*keys, size).join(found, list(keys), "left"), "rank-found")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows one task may hold in a single ordered group before the group is split.
 GROUP_ROWS_KEY = "airsight.maxGroupRows"
@@ -16,6 +17,11 @@ BROADCAST_BYTES_KEY = "airsight.maxBroadcastBytes"
 BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
 
 
+#: Rows of a lookup table that may be broadcast.
+BROADCAST_ROWS_KEY = "airsight.maxBroadcastRows"
+BROADCAST_ROWS_DEFAULT = 500_000
+
+
 def max_group_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(GROUP_ROWS_KEY, str(GROUP_ROWS_DEFAULT)))
 
@@ -48,3 +54,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{staging_root(spark).rstrip('/')}/airsight/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def lookup(df: DataFrame, label: str) -> DataFrame:
+    """A per-key table to join with the rows it came from: staged, counted, and broadcast only if it is small.
+
+    Without the hint the planner would guess its size from the big table and shuffle both by a few hot keys.
+    """
+    table = stage(df, label)
+    limit = int(df.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(BROADCAST_ROWS_DEFAULT)))
+    return F.broadcast(table) if table.count() <= limit else table
