@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from airsight import advice_text as text
 from airsight import config as cfg
 from airsight.catalog.adapters import adapter
-from airsight.catalog.registry import dec, query, snap, sql
+from airsight.catalog.registry import dec, query, sql
 from airsight.functions import risk
 from airsight.operators import advice
 from airsight.plans import assessment
