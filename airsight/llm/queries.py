@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsight.llm import exact_dedup, line_dedup, mixing
+from airsight.llm import exact_dedup, line_dedup, mixing, ngram_join
 from airsight.llm.common import table
 from airsight.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (the entry module reads the registry here)
 
@@ -46,3 +46,8 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_mixing")
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
