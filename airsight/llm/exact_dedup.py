@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsight.llm.common import whole
+from airsight.session import lookup
 
 #: Characters a chunk has at least and at most, unless the text ends.
 CHUNK_CHARS = (512, 4096)
@@ -56,8 +57,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", siz
     recipes = docs.select(
         "doc_id", _identifiers(chunks(F.col("text"), sizes), wide).alias("recipe"), F.sha2(whole(F.col("text")), 256).alias("text_sha256")
     )
-    groups = recipes.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    return recipes.join(groups, "recipe").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
+    groups = recipes.groupBy("recipe").agg(F.max("doc_id").alias("top_id"), F.count("*").alias("n"))
+    repeated = lookup(groups.filter("n > 1"), "repeated-recipes")  # most recipes are single and need no partner in the join
+    keep_id = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("top_id"))
+    return recipes.join(repeated, "recipe", "left").select(
+        "doc_id", keep_id.alias("keep_id"), F.coalesce("n", F.lit(1)).alias("group_size"), F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256",
         F.size("recipe").cast("long").alias("n_chunks"),
     )
