@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsight.llm import exact_dedup, line_dedup, mixing, ngram_join
+from airsight.llm import decontamination, exact_dedup, line_dedup, mixing, ngram_join, substring_dedup
 from airsight.llm.common import table
 from airsight.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (the entry module reads the registry here)
 
@@ -51,3 +51,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_join")
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.drop_repeated_spans(docs)
