@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsight.llm import decontamination, exact_dedup, line_dedup, mixing, ngram_join, substring_dedup
+from airsight.llm import decontamination, exact_dedup, line_dedup, mixing, ngram_join, substring_dedup, toxicity
 from airsight.llm.common import table
 from airsight.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (the entry module reads the registry here)
 
@@ -62,3 +62,8 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.drop_repeated_spans(docs)
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
