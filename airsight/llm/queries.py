@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsight.llm import decontamination, exact_dedup, line_dedup, mixing, ngram_join, substring_dedup, toxicity
+from airsight.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, quality, substring_dedup, toxicity, warc
 from airsight.llm.common import table
 from airsight.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (the entry module reads the registry here)
 
@@ -31,6 +31,27 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, co
        doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents"""
 
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS head FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> head THEN head END AS refers_to
+FROM q"""
+
+
+@query("op1_warc", WARC_SQL)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("target_uri", "warc_date")
+
+
+@query("op2_chat_windows")
+def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.format_conversations(turns.union(planted)), together=True)
+
 
 @query("op5_line_dedup", LINE_SQL)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,3 +88,8 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
