@@ -20,7 +20,7 @@ RECALL = 0.9999
 #: Hash functions of a signature at most.
 MAX_HASHES = 128
 #: Distinct n-grams of all texts in one block of a bucket, about; a text of more is a block of its own at worst.
-BLOCK_GRAMS = 400_000
+BLOCK_GRAMS = 150_000
 #: What a text counts for besides its n-grams, so that blocks of tiny texts stay small too.
 TEXT_GRAMS = 200
 SEED = 77
