@@ -9,18 +9,19 @@ from airsight.llm.common import whole
 from airsight.session import lookup
 
 #: Characters a chunk has at least and at most, unless the text ends.
-CHUNK_CHARS = (512, 4096)
+CHUNK_CHARS = (256, 4096)
+#: Where a chunk may end: behind one in a few of the sentence and line ends, told by the two characters before the mark.
+CUT = r"(?<=[02468bdfhjlnprtvxz][0-4a-mA-M][.!?\n])"
 
 
 def chunks(text: Column, sizes: tuple[int, int] = CHUNK_CHARS) -> Column:
     """Array of chunks that concatenate to ``text``.
 
-    A chunk ends behind the first sentence end or line end after the least size, so a cut depends on the characters
-    around it and equal passages fall into equal chunks again after an edit before them. Where no such place
-    comes, the largest size cuts.
+    A chunk ends at the first ``CUT`` after the least size. Cuts depend on the characters before them and are rarer than that size, so
+    equal passages soon fall into equal chunks again after an edit before them. Where no such place comes, the largest size cuts.
     """
     least, most = sizes
-    return F.regexp_extract_all(whole(text), F.lit(rf"(?s).{{{least},{most}}}?(?<=[.!?\n])|.{{{most}}}|.+"), F.lit(0))
+    return F.regexp_extract_all(whole(text), F.lit(rf"(?s).{{{least},{most}}}?{CUT}|.{{{most}}}|.+"), F.lit(0))
 
 
 def _identifiers(pieces: Column, wide: bool) -> Column:
