@@ -11,17 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airsight.llm.common import fresh, held_out, text_key, whole
+from airsight.llm.common import fresh, held_out
+from airsight.llm.labelled import FOLDS, logistic, training_texts
 from airsight.llm.shingles import LOWER, NOT_WORD, slices, text_bytes, word_hashes
-from airsight.session import lookup, stage
+from airsight.session import stage
 
 #: Labelled documents to learn from at most; of more, those with the least hashes of their ids are taken.
 MAX_TRAINING_DOCS = 50_000
 #: Tokens the model keeps at most, those with the clearest log-odds. Only tokens beyond ``MIN_Z`` are kept at all.
 MAX_TOKENS = 200_000
 MIN_Z = 2.5
-#: Parts of the training texts for cross-fitting.
-FOLDS = 5
 #: Dirichlet prior of a token: so many pseudo-counts, and so many per training text of either kind that has it.
 PRIOR = (0.5, 0.01)
 #: Standard errors that a token's weight stays below its log-odds, so that rare tokens weigh little.
@@ -174,19 +173,6 @@ def _rate(tokens: np.ndarray, weights: np.ndarray, drift: float, share: np.ndarr
     return max(high, 0.05)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Intercept and slope by Newton steps; the ridge keeps them finite where the kinds separate."""
-    design = np.column_stack([np.ones(len(x)), x])
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + ridge * np.eye(2), design.T @ (y - p) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(w[0]), float(w[1])
-
-
 def _profile(models: list[Model]):
     """(text, toxic, fold) to (toxic, n, scores): a training text seen by the model of the other folds."""
 
@@ -203,21 +189,6 @@ def _profile(models: list[Model]):
     return run
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text: str = "text", most: int = MAX_TRAINING_DOCS) -> DataFrame:
-    """(text, <label>, fold): labelled texts that may be learned from, equal texts once, at most ``most`` of them by hash of the id.
-
-    Of equal texts with different labels the higher label counts. ``fold`` deals the texts out for cross-fitting.
-    """
-    wanted = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    wanted = wanted.groupBy(F.col("doc_id").alias("labelled")).agg(F.max(F.when(F.col(label) == 1, 1).otherwise(0)).alias(label))
-    n = wanted.count()
-    if n > most:
-        wanted = wanted.filter(F.pmod(F.xxhash64(F.lit(5), "labelled"), F.lit(1 << 20)) < int((1 << 20) * most / n))
-    mine = docs.select(F.col(id_col).alias("id"), whole(F.col(text)).alias("text")).join(lookup(wanted, "labels"), F.col("id") == F.col("labelled"))
-    once = mine.groupBy(text_key(F.col("text")).alias("key")).agg(F.first("text").alias("text"), F.max(label).alias(label))
-    return stage(once.select("text", label, F.pmod(F.xxhash64(F.lit(6), "key"), F.lit(FOLDS)).cast("int").alias("fold")), "training-texts")
-
-
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text: str = "text") -> Model:
     """Learn the model. Token counts are Spark aggregates over the training texts; the driver gets the clear tokens
     (``MAX_TOKENS``) and one line per training text (``MAX_TRAINING_DOCS``).
@@ -225,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     Weights for the calibration are cross-fitted: a text is scored by weights from the other folds, so that its own words
     don't vouch for it. Without texts of both kinds nothing is clear and every score is that of the intercept.
     """
-    texts = training_texts(docs, labels, label, id_col, text).withColumnRenamed(label, "toxic")
+    texts = training_texts(docs, labels, label, MAX_TRAINING_DOCS, id_col, text).withColumnRenamed(label, "toxic")
     counts = texts.mapInArrow(_count_tokens, "token long, kind int, n long").groupBy("token")
     counts = stage(counts.agg(*[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in range(2 * FOLDS)]), "token-counts")
 
@@ -252,7 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     scale = float(clean.sum() / max((n * np.exp(-rate * best))[clean].sum(), 1e-9))
     model = Model(tokens, weights, drift, rate, scale)
     x = np.array([evidence([(0, 0, v) for v in s], int(k), model) for s, k in zip(scores, n)])
-    intercept, slope = _logistic(x, y)
+    intercept, slope = logistic(x, y)
     return Model(tokens, weights, drift, rate, scale, intercept, max(slope, 0.0))
 
 
