@@ -1,7 +1,7 @@
 """Cleaning: projections, missing values, imputation, timestamps, target choice, encoding and scaling.
 
-Fitted parameters (medians, means, label lists) are a handful of numbers per column: they are
-computed by one Spark aggregation and applied as literals, so applying them never joins or shuffles.
+Fitted parameters (medians, means) are a handful of numbers per column: they are computed by one Spark
+aggregation and applied as literals, so applying them never joins or shuffles. Labels may be many, so they are a table.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from airsight import config as cfg
 from airsight.functions.risk import class_name
+from airsight.operators.ordered import row_numbers
 from airsight.operators.quantiles import exact_quantiles, number
+from airsight.session import sized, stage
 
 
 def col(name: str) -> Column:
@@ -168,26 +170,22 @@ def fit_min_max(df: DataFrame, cols: Sequence[str]) -> Scaler:
     return _fit_scaler(df, cols, F.min, lambda c: F.max(c) - F.min(c))
 
 
-#: A longer class list is taken for a mistake, such as an id used as label.
-MAX_CLASSES = 10_000
+def fit_labels(df: DataFrame, label: str) -> DataFrame:
+    """Distinct labels with their 0-based position in alphabetical order: columns ``label`` and ``index``, one row per label."""
+    distinct = df.select(F.col(label).cast("string").alias("label")).filter("label is not null").distinct()
+    numbered = row_numbers(distinct, [], ["label"], "_rn")
+    return stage(numbered.select("label", (F.col("_rn") - 1).alias("index")), "labels")
 
 
-def fit_labels(df: DataFrame, label: str) -> list[str]:
-    """Distinct labels in alphabetical order; fails if there are too many to be classes."""
-    distinct = df.select(F.col(label).cast("string").alias("l")).filter("l is not null").distinct()
-    labels = [r["l"] for r in distinct.limit(MAX_CLASSES + 1).collect()]
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return sorted(labels)
-
-
-def encode_labels(df: DataFrame, label: str, labels: Sequence[str], out: str) -> DataFrame:
-    """0-based position in ``labels``; a label outside the list stops the job."""
-    index = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label).cast("string")) - 1
+def encode_labels(df: DataFrame, label: str, labels: DataFrame, out: str) -> DataFrame:
+    """Position of the label in ``labels``; a label that it lacks stops the job."""
+    known = sized(labels.select(F.col("label").alias("_label"), F.col("index").alias("_index")))
     unknown = F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(F.col(label).cast("string"), F.lit("NULL"))))
-    return df.withColumn(out, F.when(index >= 0, index).otherwise(unknown.cast("bigint")))
+    joined = df.join(known, F.col(label).cast("string") == F.col("_label"), "left")
+    return joined.withColumn(out, F.coalesce(F.col("_index"), unknown.cast("bigint"))).drop("_label", "_index")
 
 
-def decode_labels(df: DataFrame, index: str, labels: Sequence[str], out: str) -> DataFrame:
-    names = F.array(*[F.lit(v) for v in labels])
-    return df.withColumn(out, F.element_at(names, (F.col(index) + 1).cast("int")))
+def decode_labels(df: DataFrame, index: str, labels: DataFrame, out: str) -> DataFrame:
+    """Label at each position; a position outside the table gives NULL."""
+    known = sized(labels.select(F.col("label").alias(out), F.col("index").alias("_index")))
+    return df.join(known, F.col(index).cast("bigint") == F.col("_index"), "left").drop("_index")

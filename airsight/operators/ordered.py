@@ -45,6 +45,15 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return match
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a per-key table, NULL keys included; the result has the left columns, then the right ones besides the keys."""
+    renamed = right.select(*[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}"))
+    return left.join(renamed, match, how).drop(*[f"_key{i}" for i in range(len(keys))])
+
+
 def _split(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, DataFrame]:
     """Rows of ordinary keys and rows of large keys."""
     if not keys:

@@ -16,6 +16,8 @@ from airsight import config as cfg
 from airsight.functions.text import collapse, has_content, strip, token_estimate
 from airsight.session import max_broadcast_bytes
 
+#: What stands for an absent source or category.
+UNKNOWN_SOURCE, DEFAULT_CATEGORY = "unknown", "General"
 _CITATION = r"\[([^\[\]]+?\.[a-zA-Z]{2,5})\]"  # a fixed value
 
 
@@ -26,7 +28,9 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Unit rows of a list column as a dense matrix."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype("float64")
-    rows = flat.reshape(len(lists), -1)
+    if len(flat) % max(len(lists), 1):
+        raise ValueError("vectors have different dimensions")
+    rows = flat.reshape(len(lists), len(flat) // max(len(lists), 1))
     length = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.where(length > 0, length, 1.0)
 
@@ -126,6 +130,10 @@ def _against_blocks(queries, corpus, query_id, corpus_id, vector, k, schema, n_q
     return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(search, schema)
 
 
+def _searchable(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    return rows.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & ~F.exists(F.col(vector), lambda x: x.isNull()))
+
+
 def vector_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -138,9 +146,14 @@ def vector_topk(
     """Exact cosine top-k per query: (query id, corpus id, rank, similarity).
 
     Each task keeps k rows per query, so no query-corpus pair is ever written out. The threshold applies after
-    the top k are chosen and to the unrounded value. The two id columns need different names.
+    the top k are chosen and to the unrounded value. The two id columns need different names. Rows without an id, without a vector or with
+    a NULL in it neither ask nor answer; vectors of different dimensions stop the job.
     """
     spark = queries.sparkSession
+    queries, corpus = _searchable(queries, query_id, vector), _searchable(corpus, corpus_id, vector)
+    dims = queries.select(F.size(vector).alias("d")).union(corpus.select(F.size(vector).alias("d"))).agg(F.min("d").alias("low"), F.max("d").alias("high")).first()
+    if dims["low"] != dims["high"]:
+        raise ValueError(f"vectors of {dims['low']} and {dims['high']} dimensions")
     limit = max_broadcast_bytes(spark)
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("dim")).first()
     width = (size["dim"] or 1) * 8
@@ -176,7 +189,10 @@ def retrieval_confidence(queries: DataFrame, chunks: DataFrame, query: str) -> D
 
 
 def citation_sources(chunks: DataFrame, query: str, rank: str = "rank") -> DataFrame:
-    """Best chunk per source with a short excerpt; the earlier chunk wins ties."""
+    """Best chunk per source with a short excerpt; the earlier chunk wins ties. An absent source is ``unknown``, an absent category ``General``."""
+    chunks = chunks.withColumns({
+        "source": F.coalesce("source", F.lit(UNKNOWN_SOURCE)), "category": F.coalesce("category", F.lit(DEFAULT_CATEGORY)),
+    })
     w = Window.partitionBy(query, "source").orderBy(F.desc("similarity"), rank)
     best = chunks.withColumn("_at", F.row_number().over(w)).filter("_at = 1").drop("_at")
     excerpt = strip(F.left("text", F.lit(cfg.EXCERPT_CHARS)))
@@ -234,7 +250,7 @@ def _first_per_opening(flat: DataFrame, query: str, rank: str) -> DataFrame:
 def _flat_unique(chunks: DataFrame, query: str, rank: str) -> DataFrame:
     """De-duplicated chunks with their text already on one line."""
     flat = chunks.filter(has_content(F.col("text"))).select(
-        query, rank, "similarity", "source", collapse(F.col("text")).alias("_flat")
+        query, rank, "similarity", F.coalesce("source", F.lit(UNKNOWN_SOURCE)).alias("source"), collapse(F.col("text")).alias("_flat")
     )
     return _first_per_opening(flat, query, rank)
 
@@ -248,10 +264,9 @@ def context_entries(
 
 
 def _entries(unique: DataFrame, query: str, max_chars: int, rank: str) -> DataFrame:
-    """An entry is kept while the entries before it, uncut, stay below the budget. Each takes at least
-    seven characters, so ranks beyond budget / 7 + 1 cannot fit and are cut before the running sum."""
+    """An entry is kept while the entries before it, uncut, stay below the budget."""
     order = Window.partitionBy(query).orderBy(F.desc("similarity"), rank)
-    numbered = unique.withColumn("entry_no", F.row_number().over(order)).filter(F.col("entry_no") <= max_chars // 7 + 1)
+    numbered = unique.withColumn("entry_no", F.row_number().over(order))
     head = F.concat(F.lit("["), F.col("entry_no").cast("string"), F.lit("] "), "source", F.lit(":\n"))
     shaped = numbered.withColumn("_head", head)
     full = F.length("_head") + F.length("_flat")
@@ -277,7 +292,7 @@ def context_blocks(
     """
     entries = _entries(_flat_unique(chunks, query, rank), query, max_chars, rank)
     listed = F.transform(F.array_sort(F.collect_list(F.struct("entry_no", "entry"))), lambda e: e["entry"])
-    # bounded by the budget: never more than max_chars / 7 + 1 entries
+    # bounded by the budget: every entry that is kept has a heading and starts below it
     blocks = entries.groupBy(query).agg(
         F.array_join(listed, "\n\n").alias("context"), F.sum(F.length("entry")).alias("context_chars")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +17,13 @@ from airsight.operators.cleaning import (
 
 
 def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame | None:
-    """The table at ``path``, or None if nothing can be read there."""
+    """The table at ``path``, or None if there is no such path. Any other failure, such as a denied access, is raised."""
     try:
         return spark.read.format(fmt).options(**options).load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_csv(spark: SparkSession, path: str, numeric: list[str]) -> DataFrame:
@@ -52,7 +56,8 @@ def read_sensor_series(spark: SparkSession, path: str, fmt: str = "d/M/yyyy H:mm
     Columns that only hold the sentinel survive the empty-column check and stay NULL.
     """
     raw = spark.read.csv(path, header=True)
-    header = [c for c in raw.columns if not c.startswith(("Unnamed", "_c"))]
+    # columns without a heading: the names Spark or a data-frame export gives them
+    header = [c for c in raw.columns if not re.fullmatch(r"_c\d+|Unnamed: \d+", c)]
     numeric = [c for c in header if c not in ("Date", "Time")]
     typed = read_csv(spark, path, numeric).select(*[col(c) for c in header])
     kept = drop_all_null_columns(nan_to_null(typed))

@@ -139,7 +139,37 @@ def test_cleaning(spark):
     assert [r["i"] for r in coded.collect()] == [1, 0, 1]
     assert [r["z"] for r in cleaning.decode_labels(coded, "i", names, "z").collect()] == ["b", "a", "b"]
     with pytest.raises(Exception, match="unseen label"):
-        cleaning.encode_labels(labels, "y", ["a"], "i").collect()
+        cleaning.encode_labels(labels, "y", names.filter("label = 'a'"), "i").collect()
+
+
+def test_twenty_thousand_labels(spark):
+    many = spark.range(40_000).select(F.concat(F.lit("l"), F.lpad((F.col("id") % 20_000).cast("string"), 5, "0")).alias("y"))
+    coded = cleaning.encode_labels(many, "y", cleaning.fit_labels(many, "y"), "i")
+    assert coded.filter(F.col("i") != F.substring("y", 2, 5).cast("int")).count() == 0 and coded.count() == 40_000
+
+
+def test_both_routes_label_the_same_rows(spark):
+    """NULL series, labels, times and ids, ties and repeated rows."""
+    x = F.col("id")
+    df = spark.range(700).select(
+        F.when(x % 4 == 0, None).otherwise(x % 3).alias("s"), F.when(x % 5 == 0, None).otherwise((x * 37) % 60).alias("t"),
+        F.when(x % 9 == 0, None).otherwise(x % 200).alias("id"),
+    )
+    df = df.union(df.filter("id % 7 = 0"))
+
+    def labelled() -> list:
+        split = timeseries.time_split(df, ["s"], "t", "id", validation_fraction=0.1)
+        parts = splits.stratified_split(df, "s", "id", order=F.col("t"), out="side")
+        folds = splits.stratified_folds(df, "s", "id", order=F.col("t"))
+        return [sorted((tuple(r) for r in d.collect()), key=repr) for d in (split, parts, folds)]
+
+    small = labelled()
+    spark.conf.set("airsight.maxGroupRows", "50")
+    try:
+        large = labelled()
+    finally:
+        spark.conf.unset("airsight.maxGroupRows")
+    assert small == large and all(len(rows) == df.count() for rows in small)
 
 
 def test_timestamps(spark):
