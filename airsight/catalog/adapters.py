@@ -41,6 +41,15 @@ ADAPTERS = {
         SELECT doc_id, quality AS y_true, CAST((doc_id * 7919) % 50 AS DOUBLE) / CAST(50 AS DOUBLE) AS p1,
                CASE WHEN (doc_id * 7919) % 50 >= 25 THEN 1 ELSE 0 END AS y_pred
         FROM labels""",
+    # binary scores per model: unlabelled rows, and one model that saw positives only
+    "binary": """
+        SELECT doc_id, concat('m', CAST(doc_id % 4 AS VARCHAR(20))) AS model_name,
+               CASE WHEN doc_id % 4 = 3 THEN 1 WHEN doc_id % 9 = 0 THEN CAST(NULL AS INTEGER) ELSE quality END AS y_true,
+               CAST((doc_id * 7919) % 50 + 10 * quality AS DOUBLE) / CAST(60 AS DOUBLE) AS p1
+        FROM labels""",
+    # labels for splits, some absent
+    "labelled": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN CAST(NULL AS VARCHAR(20)) ELSE o_orderpriority END AS label FROM orders""",
     # five classes with unnormalised scores, the true class favoured
     "votes": """
         SELECT o_orderkey, o_orderstatus, CAST(substring(o_orderpriority, 1, 1) AS INT) - 1 AS y_true,
@@ -77,10 +86,12 @@ ADAPTERS = {
         SELECT event_id, concat(CAST(1 + event_id % 31 AS VARCHAR(20)), '/', CAST(1 + event_id % 13 AS VARCHAR(20)), '/2004') AS d,
                concat(CAST(event_id % 24 AS VARCHAR(20)), ':00:00') AS t
         FROM events""",
-    # every vector asks, every vector answers
+    # every vector asks and answers, but for absent ones; absent sources and categories, texts that several vectors share
     "vectors": """
-        SELECT vec_id, embedding, concat('doc_', CAST(vec_id % 40 AS VARCHAR(20)), '.txt') AS source,
-               CASE WHEN label % 2 = 0 THEN 'Air' ELSE 'Water' END AS category
+        SELECT vec_id, CASE WHEN vec_id % 37 = 5 THEN NULL ELSE embedding END AS embedding,
+               CASE WHEN vec_id % 11 = 3 THEN CAST(NULL AS VARCHAR(20)) ELSE concat('doc_', CAST(vec_id % 40 AS VARCHAR(20)), '.txt') END AS source,
+               CASE WHEN vec_id % 13 = 4 THEN CAST(NULL AS VARCHAR(20)) WHEN label % 2 = 0 THEN 'Air' ELSE 'Water' END AS category,
+               CASE WHEN vec_id % 3 = 0 THEN label ELSE vec_id END AS text_id
         FROM embeddings""",
     # answers with citations, some not retrieved
     "answers": """

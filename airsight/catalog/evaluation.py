@@ -140,6 +140,20 @@ def roc_auc_ovr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.join(metrics.weighted_auc(per, ["model_name"]), "model_name").withColumn("auc", snap("auc", 6))
 
 
+@query("binary_auc", sql(
+    f"""SELECT model_name, CASE WHEN pos > 0 AND neg > 0 THEN {dec('(rank_sum - pos * (pos + 1) / 2) / (CAST(pos AS DOUBLE) * greatest(neg, 1))', 4)} END AS roc_auc
+        FROM (SELECT model_name, count(CASE WHEN y_true = 1 THEN 1 END) AS pos, count(CASE WHEN y_true = 0 THEN 1 END) AS neg,
+                     sum(CASE WHEN y_true = 1 THEN r ELSE 0 END) AS rank_sum
+              FROM (SELECT model_name, y_true, rank() OVER w + (count(*) OVER (PARTITION BY model_name, p1) - 1) / 2.0 AS r
+                    FROM "binary" WHERE y_true IS NOT NULL WINDOW w AS (PARTITION BY model_name ORDER BY p1)) GROUP BY model_name)""",
+    "binary",
+).replace("binary AS (", '"binary" AS ('))
+def binary_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of the positive class per model; unlabelled rows do not count, and a model with one side only has none."""
+    rows = adapter(spark, sf_dir, "binary").select("model_name", "p1", F.lit(1).alias("cls"), (F.col("y_true") == 1).alias("positive"))
+    return metrics.weighted_auc(metrics.roc_auc_by_class(rows, "cls", "positive", "p1", ["model_name"]), ["model_name"])
+
+
 ROC = (
     "points AS (SELECT cls, p, count(CASE WHEN positive THEN 1 END) AS pos, count(CASE WHEN NOT positive THEN 1 END) AS neg FROM long GROUP BY cls, p)",
     """cum AS (SELECT cls, pos, neg, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, row_number() OVER w AS place,

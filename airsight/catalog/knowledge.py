@@ -19,9 +19,9 @@ from airsight.session import stage
 TOPK = f"""topk AS (SELECT query_id, vec_id, rank, {dec('greatest(0, sim)', 4)} AS similarity FROM (
     SELECT query_id, vec_id, sim, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 10) DESC, vec_id) AS rank FROM (
       SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS sim
-      FROM vectors q CROSS JOIN vectors c)) WHERE rank <= 3 AND greatest(0, sim) >= 0.3)"""
+      FROM vectors q CROSS JOIN vectors c WHERE q.embedding IS NOT NULL AND c.embedding IS NOT NULL)) WHERE rank <= 3 AND greatest(0, sim) >= 0.3)"""
 FOUND = """found AS (SELECT t.query_id, t.vec_id, t.rank, t.similarity, v.source, v.category, d.text
-    FROM topk t JOIN vectors v USING (vec_id) JOIN documents d ON d.doc_id = t.vec_id)"""
+    FROM topk t JOIN vectors v USING (vec_id) JOIN documents d ON d.doc_id = v.text_id)"""
 FOUND_PARTS = ("vectors", TOPK, FOUND)
 
 
@@ -33,9 +33,9 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieved chunks with source, category and text."""
-    vectors = adapter(spark, sf_dir, "vectors").select("vec_id", "source", "category")
-    texts = adapter(spark, sf_dir, "files").select(F.col("doc_id").alias("vec_id"), "text")
-    return topk(spark, sf_dir).join(vectors, "vec_id").join(texts, "vec_id")
+    vectors = adapter(spark, sf_dir, "vectors").select("vec_id", "source", "category", "text_id")
+    texts = adapter(spark, sf_dir, "files").select(F.col("doc_id").alias("text_id"), "text")
+    return topk(spark, sf_dir).join(vectors, "vec_id").join(texts, "text_id").drop("text_id")
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,11 +47,11 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""SELECT vec_id, i, {dec('x / sqrt(sum(x * x) OVER (PARTITION BY vec_id))', 6)} AS x,
                {dec('sqrt(sum(x * x) OVER (PARTITION BY vec_id))', 6)} AS length
         FROM (SELECT vec_id, CAST(i AS INTEGER) AS i, CAST(embedding[i + 1] AS DOUBLE) * (vec_id % 7 + 1) AS x
-              FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM vectors))""",
+              FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM vectors WHERE embedding IS NOT NULL))""",
     "vectors",
 ))
 def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = adapter(spark, sf_dir, "vectors").select(
+    scaled = adapter(spark, sf_dir, "vectors").filter("embedding IS NOT NULL").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double") * (F.col("vec_id") % 7 + 1)).alias("v")
     )
     sized = scaled.select("vec_id", snap(norm(F.col("v")), 6).alias("length"), unit(F.col("v")).alias("u"))
@@ -78,7 +78,8 @@ STRIP = rf"'^[{WS}]+|[{WS}]+$', '', 'g'"
 SOURCES = f"""sources AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, rank) AS position,
     source AS filename, category, {dec('similarity', 3)} AS similarity,
     concat(regexp_replace(left(text, 200), {STRIP}), CASE WHEN length(text) > 200 THEN ' …' ELSE '' END) AS excerpt
-    FROM (SELECT *, row_number() OVER (PARTITION BY query_id, source ORDER BY similarity DESC, rank) AS r FROM found) WHERE r = 1)"""
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id, source ORDER BY similarity DESC, rank) AS r
+          FROM (SELECT * REPLACE (coalesce(source, 'unknown') AS source, coalesce(category, 'General') AS category) FROM found)) WHERE r = 1)"""
 
 
 @query("citation_sources", sql("SELECT * FROM sources", *FOUND_PARTS, SOURCES))
@@ -122,7 +123,7 @@ def _context(source: str, suffix: str, budget: int) -> tuple[str, ...]:
         f"""unique{suffix} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, mark ORDER BY similarity DESC, rank) AS r
              FROM (SELECT *, left({COLLAPSED}, 120) AS mark FROM {source})) WHERE r = 1 AND mark <> '')""",
         f"""heads{suffix} AS (SELECT *, concat('[', CAST(entry_no AS VARCHAR), '] ', source, ':', chr(10)) AS head FROM (
-             SELECT query_id, source, {COLLAPSED} AS body, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, rank) AS entry_no FROM unique{suffix}))""",
+             SELECT query_id, coalesce(source, 'unknown') AS source, {COLLAPSED} AS body, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, rank) AS entry_no FROM unique{suffix}))""",
         f"""spent{suffix} AS (SELECT *, {budget} - coalesce(sum(length(head) + length(body)) OVER
              (PARTITION BY query_id ORDER BY entry_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM heads{suffix})""",
         f"""entries{suffix} AS (SELECT query_id, entry_no, source, concat(head, CASE WHEN length(body) > room THEN concat(left(body, CAST(room AS BIGINT)), '…') ELSE body END) AS entry
@@ -144,7 +145,7 @@ def context_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.context_entries(found(spark, sf_dir), "query_id")
 
 
-QUESTIONS = """questions AS (SELECT v.vec_id AS query_id, concat('  Which limits apply near ', v.source, '? ') AS question,
+QUESTIONS = """questions AS (SELECT v.vec_id AS query_id, concat('  Which limits apply near ', coalesce(v.source, 'here'), '? ') AS question,
     a.city_type, a.health_impact, a.pollution_level, a.risk_level, CASE WHEN v.vec_id % 3 = 0 THEN NULL ELSE a.trend END AS trend,
     CASE WHEN v.vec_id % 3 = 1 THEN 'forest' END AS model_name
     FROM vectors v JOIN assessed a ON a.area_id = v.vec_id)"""
@@ -156,7 +157,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("area_id").alias("query_id"), "city_type", "health_impact", "pollution_level", "risk_level", "trend"
     )
     asked = adapter(spark, sf_dir, "vectors").select(
-        F.col("vec_id").alias("query_id"), F.concat(F.lit("  Which limits apply near "), "source", F.lit("? ")).alias("question")
+        F.col("vec_id").alias("query_id"), F.concat(F.lit("  Which limits apply near "), F.coalesce("source", F.lit("here")), F.lit("? ")).alias("question")
     )
     return asked.join(areas, "query_id").withColumns({
         "trend": F.when(F.col("query_id") % 3 != 0, F.col("trend")),

@@ -429,9 +429,20 @@ SPLIT = f"""split AS (SELECT series_id, ts, event_id, reading,
     FROM (SELECT *, row_number() {W}) AS rn, floor(count(*) OVER (PARTITION BY series_id) * 0.8) AS train FROM filled))"""
 
 
-@query("time_split", sql("SELECT * FROM split", "readings", CLEAN, FILLED, SPLIT))
+GAPPY = """gappy AS (SELECT CASE WHEN event_id % 13 = 0 THEN NULL ELSE series_id END AS series_id,
+    CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS ts, event_id, reading FROM filled)"""
+
+
+@query("time_split", sql(
+    "SELECT * FROM split", "readings", CLEAN, FILLED, GAPPY,
+    SPLIT.replace("FROM filled", "FROM gappy").replace("ORDER BY ts, event_id", "ORDER BY ts NULLS FIRST, event_id"),
+))
 def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeseries.time_split(filled_readings(spark, sf_dir), ["series_id"], "ts", "event_id", validation_fraction=0.1)
+    """Absent series and times take part."""
+    gappy = filled_readings(spark, sf_dir).withColumns({
+        "series_id": F.when(F.col("event_id") % 13 != 0, F.col("series_id")), "ts": F.when(F.col("event_id") % 11 != 0, F.col("ts")),
+    })
+    return timeseries.time_split(gappy, ["series_id"], "ts", "event_id", validation_fraction=0.1)
 
 
 @query("lookback_sequences", sql(
@@ -441,7 +452,8 @@ def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     "readings", CLEAN, FILLED, SPLIT,
 ))
 def lookback_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sequences = timeseries.lookback_sequences(time_split(spark, sf_dir), ["series_id"], ["ts", "event_id"], ["reading"])
+    split = timeseries.time_split(filled_readings(spark, sf_dir), ["series_id"], "ts", "event_id", validation_fraction=0.1)
+    sequences = timeseries.lookback_sequences(split, ["series_id"], ["ts", "event_id"], ["reading"])
     steps = F.transform("sequence", lambda s: s["reading"].cast("string"))
     return sequences.select("series_id", "event_id", "reading", "part", F.array_join(steps, ",").alias("sequence"))
 
@@ -492,25 +504,24 @@ def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.encode_labels(table, "label", cleaning.fit_labels(table, "label"), "label_index")
 
 
-HASHED = """hashed AS (SELECT o_orderkey, o_orderpriority AS label,
-    row_number() OVER (PARTITION BY o_orderpriority ORDER BY (o_orderkey * 7919) % 10007, o_orderkey) AS rn,
-    count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)"""
+HASHED = """hashed AS (SELECT o_orderkey, label, row_number() OVER (PARTITION BY label ORDER BY (o_orderkey * 7919) % 10007, o_orderkey) AS rn,
+    count(*) OVER (PARTITION BY label) AS n FROM labelled)"""
 QUOTAS = (
-    "shares AS (SELECT o_orderpriority AS label, count(*) AS n, sum(count(*)) OVER () AS total, "
-    "ceil(sum(count(*)) OVER () * 0.2) AS test FROM orders GROUP BY o_orderpriority)",
+    "shares AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS total, ceil(sum(count(*)) OVER () * 0.2) AS test FROM labelled GROUP BY label)",
     "floors AS (SELECT label, floor(n * test / total) AS base, test, row_number() OVER "
-    "(ORDER BY n * test / total - floor(n * test / total) DESC, label) AS place FROM shares)",
+    "(ORDER BY n * test / total - floor(n * test / total) DESC, label NULLS FIRST) AS place FROM shares)",
     "quotas AS (SELECT label, base + CASE WHEN place <= test - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM floors)",
 )
 
 
 def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("label"))
+    return adapter(spark, sf_dir, "labelled")
 
 
 @query("stratified_split", sql(
-    "SELECT o_orderkey, label, CASE WHEN rn <= quota THEN 'test' ELSE 'train' END AS part FROM hashed JOIN quotas USING (label)",
-    HASHED, *QUOTAS,
+    "SELECT o_orderkey, hashed.label, CASE WHEN rn <= quota THEN 'test' ELSE 'train' END AS part FROM hashed JOIN quotas "
+    "ON hashed.label IS NOT DISTINCT FROM quotas.label",
+    "labelled", HASHED, *QUOTAS,
 ))
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = (F.col("o_orderkey") * 7919) % 10007
@@ -518,7 +529,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("stratified_folds", sql(
-    "SELECT o_orderkey, label, CAST(floor((rn - 1) * 5 / n) AS BIGINT) AS fold FROM hashed", HASHED
+    "SELECT o_orderkey, label, CAST(floor((rn - 1) * 5 / n) AS BIGINT) AS fold FROM hashed", "labelled", HASHED
 ))
 def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = (F.col("o_orderkey") * 7919) % 10007
