@@ -15,103 +15,103 @@ from airsight.llm.common import fresh
 from airsight.llm.shingles import mix, slices
 from airsight.session import lookup, stage
 
-#: Consecutive sentences of a span.
-SPAN_SENTENCES = 3
-#: Words a span needs to count: a few short sentences meet by chance.
-MIN_WORDS = 15
+#: Consecutive sentences of a span, and the words that a span of so many needs: a few short sentences meet by chance, and where
+#: sentences are long two of them are a passage already.
+SPANS = {3: 15, 2: 30}
 
-#: A sentence with what separates it from the next: up to a line feed, or to white space behind an end mark.
-SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?](?![\s.!?])[^\n.!?]*)*(?:[.!?]+[^\S\n]*\n?|\n|\Z)")
+#: Where a sentence ends: behind marks with one of ``.!?`` among them before white space, or behind a line feed.
+END = re.compile(r"(?<![^\w\s])(?=[^\w\s]*[.!?])[^\w\s]++(?:[^\S\n]*+\n|[^\S\n]++|\Z)|\n")
 
 
 def sentences(text: str | None) -> list[str]:
-    """Pieces that concatenate to ``text``; white-space pieces belong to the sentence before."""
-    return [s for s in SENTENCE.findall(text or "") if s]
-
-
-def span_hashes(pieces: list[str], length: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first sentence of every run of ``length`` sentences with enough words; blank sentences are skipped over."""
-    bare = [(i, s.split()) for i, s in enumerate(pieces) if not s.isspace()]
-    if len(bare) < length:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(w)) for _, w in bare], dtype=np.uint64)
-    words = np.cumsum([0] + [len(w) for _, w in bare])
-    runs = len(bare) - length + 1
-    total = np.zeros(runs, dtype=np.uint64)
-    for k in range(length):
-        total = mix(total * np.uint64(31) + hashes[k : k + runs] + np.uint64(k))
-    enough = words[length:] - words[:-length] >= min_words
-    return total[enough], np.flatnonzero(enough)
-
-
-def _spans(length: int, min_words: int):
-    """(doc, text) to (span, doc, at): a row per run, ``at`` counts the sentences that are not blank."""
+    """Pieces that concatenate to ``text``; white space behind a sentence belongs to it."""
+    text, out, at = text or "", [], 0
+    for m in END.finditer(text):
+        out.append(text[at : m.end()])
+        at = m.end()
+    return out + [text[at:]] if at < len(text) else out
+
+
+def span_hashes(pieces: list[str], spans: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first sentence and length of every run of consecutive sentences with enough words; blank sentences are skipped over."""
+    bare = [s.split() for s in pieces if not s.isspace()]
+    hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(w)) for w in bare], dtype=np.uint64)
+    words = np.cumsum([0] + [len(w) for w in bare])
+    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for length, least in spans.items():
+        runs = len(bare) - length + 1
+        if runs < 1:
+            continue
+        total = np.full(runs, length, dtype=np.uint64)
+        for k in range(length):
+            total = mix(total * np.uint64(31) + hashes[k : k + runs] + np.uint64(k))
+        at = np.flatnonzero(words[length:] - words[:-length] >= least)
+        found.append((total[at], at, np.full(len(at), length)))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _spans(spans: dict[int, int]):
+    """(doc, text) to (span, doc, at, sentences): a row per run, ``at`` counts the sentences that are not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                found = [span_hashes(sentences(t), length, min_words) for t in piece.column("text").to_pylist()]
-                counts = [len(h) for h, _ in found]
+                found = [span_hashes(sentences(t), spans) for t in piece.column("text").to_pylist()]
+                hashes, at, length = (np.concatenate(c) for c in zip(*found))
+                doc = piece.column("doc").take(pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found])))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([h for h, _ in found]).view(np.int64)),
-                        piece.column("doc").take(pa.array(np.repeat(np.arange(len(found)), counts))),
-                        pa.array(np.concatenate([at for _, at in found]).astype(np.int32)),
-                    ],
-                    names=["span", "doc", "at"],
+                    [pa.array(hashes.view(np.int64)), doc, pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))], names=["span", "doc", "at", "sentences"]
                 )
 
     return run
 
 
-def _cut(length: int, text: str, starts: str, removed: str):
-    """Cut the sentences that the runs at ``starts`` cover from ``text``; ``removed`` gets their number."""
+def _cut(text: str, covered: str, removed: str):
+    """Cut the sentences with the numbers ``covered`` from ``text``; ``removed`` gets their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
-            for t, at in zip(batch.column(text).to_pylist(), batch.column(starts).to_pylist()):
-                if not at:
+            for t, gone in zip(batch.column(text).to_pylist(), batch.column(covered).to_pylist()):
+                if not gone:
                     texts.append(t)
                     counts.append(0)
                     continue
-                gone, kept, n, cut = {a + k for a in at for k in range(length)}, [], -1, 0
+                gone, kept, n = set(gone), [], -1
                 for s in sentences(t):
                     n += not s.isspace()
-                    if n in gone:
-                        cut += not s.isspace()
-                    else:
+                    if n not in gone:
                         kept.append(s)
                 texts.append("".join(kept))
-                counts.append(cut)
-            names = [c for c in batch.schema.names if c != starts]
+                counts.append(sum(g <= n for g in gone))
+            names = [c for c in batch.schema.names if c != covered]
             columns = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[*names, removed])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = SPAN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, at): every span that is not the first with its hash. First is the least document id, then the least place.
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", spans: dict[int, int] = SPANS) -> DataFrame:
+    """(doc, at, sentences): every span that is not the first with its hash. First is the least document id, then the least place.
 
     Firsts are aggregated inside the tasks before the shuffle. Only hashes of repeated spans remain to be joined, and spans meet
     them on the hash; a passage that a third of the documents share is a skewed join key, which adaptive execution splits.
     """
-    spans = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(_spans(length, min_words), "span long, doc long, at int")
-    spans = stage(spans, "spans")
-    firsts = spans.groupBy("span").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text"))
+    runs = stage(texts.mapInArrow(_spans(spans), "span long, doc long, at int, sentences int"), "spans")
+    firsts = runs.groupBy("span").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
     firsts = lookup(firsts.filter("n > 1").select(F.col("span").alias("repeated"), "first"), "repeated-spans")
-    met = spans.join(firsts, F.col("span") == F.col("repeated"))
-    return met.filter(~F.struct("doc", "at").eqNullSafe(F.col("first"))).select("doc", "at")
+    met = runs.join(firsts, F.col("span") == F.col("repeated"))
+    return met.filter(~F.struct("doc", "at").eqNullSafe(F.col("first"))).select("doc", "at", "sentences")
 
 
 def drop_repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = SPAN_SENTENCES, min_words: int = MIN_WORDS
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", spans: dict[int, int] = SPANS
 ) -> DataFrame:
     """``docs`` with all sentences cut that a repeated span covers, unless the span is its first, and their number in ``n_removed``.
 
-    A span is a run of ``length`` sentences of ``min_words`` words or more together. Sentences end at a line feed or behind one of
-    ``.!?`` before white space; they are compared by their words, so white space between words does not matter. Spans are
+    A span is a run of sentences: ``spans`` maps their number to the words they need together. Sentences end at a line feed or behind
+    marks with one of ``.!?`` before white space; they are compared by their words, so white space between words does not matter. Spans are
     compared by 64-bit hashes. What is not cut stays as it is, with its separators. No document goes; one that only repeats
     others is left with an empty text.
 
@@ -119,10 +119,11 @@ def drop_repeated_spans(
     same places: the first of equal spans there stays in each. A null id comes first. No rows give no rows. Extra columns
     pass through; ``n_removed`` gets underscores in front where the input has the name.
     """
-    mine, starts, removed = fresh("span_doc", docs.columns), fresh("span_starts", docs.columns), fresh("n_removed", docs.columns)
-    again = repeated_spans(docs, id_col, text, length, min_words)
-    per_doc = again.groupBy(F.col("doc").alias(mine)).agg(F.sort_array(F.collect_set("at")).alias(starts))  # at most the sentences of a document
+    mine, covered, removed = fresh("span_doc", docs.columns), fresh("covered", docs.columns), fresh("n_removed", docs.columns)
+    again = repeated_spans(docs, id_col, text, spans)
+    each = again.select(F.col("doc").alias(mine), F.explode(F.sequence("at", F.col("at") + F.col("sentences") - 1)).alias("at")).distinct()
+    per_doc = each.groupBy(mine).agg(F.collect_list("at").alias(covered))  # at most the sentences of a document
     per_doc = lookup(per_doc, "covered")
     joined = docs.join(per_doc, F.col(id_col).eqNullSafe(F.col(mine)), "left").drop(mine)
     schema = docs.withColumn(removed, F.lit(0).cast("long")).schema
-    return joined.mapInArrow(_cut(length, text, starts, removed), schema)
+    return joined.mapInArrow(_cut(text, covered, removed), schema)
