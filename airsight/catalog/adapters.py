@@ -47,6 +47,11 @@ ADAPTERS = {
                CASE WHEN doc_id % 4 = 3 THEN 1 WHEN doc_id % 9 = 0 THEN CAST(NULL AS INTEGER) ELSE quality END AS y_true,
                CAST((doc_id * 7919) % 50 + 10 * quality AS DOUBLE) / CAST(60 AS DOUBLE) AS p1
         FROM labels""",
+    # two features that decide a binary label, but for some noise
+    "customers": """
+        SELECT c_custkey, c_acctbal AS balance, CAST((c_custkey * 7919) % 1000 AS DOUBLE) AS visits,
+               CASE WHEN c_acctbal + (c_custkey * 7919) % 1000 * 3 + (c_custkey * 31) % 700 > 6000 THEN 'high' ELSE 'low' END AS label
+        FROM customer""",
     # labels for splits, some absent
     "labelled": """
         SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN CAST(NULL AS VARCHAR(20)) ELSE o_orderpriority END AS label FROM orders""",
