@@ -306,7 +306,7 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t
     """``docs`` with one document of each class, all its columns as they are: the one with the largest id, and of texts that repeat
     that id the one with the largest key. Rows that repeat both stay once."""
     mine = [fresh(c, docs.columns) for c in ("keep_id", "keep_key", "text_key")]
-    classes = classified(docs, id_col, text, threshold)
+    classes = stage(classified(docs, id_col, text, threshold).select("doc_id", "key", "root"), "classes")
     kept = classes.groupBy("root").agg(F.max(F.struct("doc_id", "key")).alias("keep"))
     repeats = classes.groupBy("doc_id", "key").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "key", F.lit(True).alias("again"))
     kept = kept.select(F.col("keep.doc_id").alias("doc_id"), F.col("keep.key").alias("key"))
