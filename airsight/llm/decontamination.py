@@ -169,7 +169,9 @@ def contaminated(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents that hold a test item; all columns as they are. Rows that share a removed id go together."""
-    mine = fresh("contaminated_id", docs.columns)
-    bad = contaminated(docs, items, id_col, "item_id", text, threshold).select(F.col("doc_id").alias(mine)).distinct()
-    return docs.join(lookup(bad, "contaminated"), F.col(id_col).eqNullSafe(F.col(mine)), "left_anti")
+    """``docs`` without the documents that hold a test item; all columns as they are. Rows that share a removed id go together; rows
+    without an id are told apart by a 64-bit hash of their text."""
+    mine, theirs = fresh("document_id", docs.columns), fresh("contaminated_id", docs.columns)
+    known = docs.withColumn(mine, F.coalesce(F.col(id_col).cast("long"), F.xxhash64(whole(F.col(text)))))
+    bad = contaminated(known, items, mine, "item_id", text, threshold).select(F.col("doc_id").alias(theirs)).distinct()
+    return known.join(lookup(bad, "contaminated"), F.col(mine) == F.col(theirs), "left_anti").drop(mine)

@@ -56,15 +56,15 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text",
     front where the input has such names.
     """
     mine, theirs = fresh("boilerplate", docs.columns), fresh("boilerplate_site", docs.columns)
-    n_lines, n_dropped = fresh("n_lines", docs.columns), fresh("n_dropped", docs.columns)
+    n_lines, n_dropped, left = (fresh(c, docs.columns) for c in ("n_lines", "n_dropped", "kept"))
     found = lookup(boilerplate(docs, site, text, ratio, min_pages), "boilerplate")
     found = found.select(F.col("site").alias(theirs), F.col("boilerplate").alias(mine))
     kept = F.filter(lines(F.col(text)), lambda x: ~F.coalesce(F.array_contains(F.col(mine), _line_id(x)), F.lit(False)))
     before = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines(F.col(text)))).cast("long")
     joined = docs.join(found, F.col(site).eqNullSafe(F.col(theirs)), "left")
-    marked = joined.withColumn("__kept", F.when(F.col(mine).isNotNull() & F.col(text).isNotNull(), kept))
+    marked = joined.withColumn(left, F.when(F.col(mine).isNotNull() & F.col(text).isNotNull(), kept))
     columns = [
-        F.when(F.col("__kept").isNull(), F.col(text)).otherwise(F.array_join("__kept", "\n")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns
+        F.when(F.col(left).isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns
     ]
-    dropped = F.when(F.col("__kept").isNull(), 0).otherwise(F.size(lines(F.col(text))) - F.size("__kept")).cast("long")
+    dropped = F.when(F.col(left).isNull(), 0).otherwise(F.size(lines(F.col(text))) - F.size(left)).cast("long")
     return marked.select(*columns, before.alias(n_lines), dropped.alias(n_dropped))
