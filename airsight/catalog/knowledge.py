@@ -31,13 +31,25 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.vector_topk(queries, vectors, "query_id", "vec_id")
 
 
-def found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retrieved chunks with source, category and text."""
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapter(spark, sf_dir, "files").select(F.col("doc_id").alias("text_id"), "text")
+
+
+def _hits(spark: SparkSession, sf_dir: str, texts: DataFrame) -> DataFrame:
     vectors = adapter(spark, sf_dir, "vectors").select("vec_id", "source", "category", "text_id")
-    texts = adapter(spark, sf_dir, "files").select(F.col("doc_id").alias("text_id"), "text")
     return topk(spark, sf_dir).join(vectors, "vec_id").join(texts, "text_id").drop("text_id")
 
 
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrieved chunks with source, category and text."""
+    return _hits(spark, sf_dir, _texts(spark, sf_dir))
+
+
+def found_condensed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrieved chunks with what a context needs of their texts, each text condensed once."""
+    return _hits(spark, sf_dir, retrieval.condensed(_texts(spark, sf_dir)))
+
+
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieved chunks kept as a table, for steps that read them more than once."""
     return stage(found(spark, sf_dir), "retrieved")
@@ -142,7 +154,7 @@ def dedup_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("context_budget", sql("SELECT * FROM entries_", *FOUND_PARTS, *_context("found", "_", 2500)[:4]))
 def context_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.context_entries(found(spark, sf_dir), "query_id")
+    return retrieval.context_entries(found_condensed(spark, sf_dir), "query_id")
 
 
 QUESTIONS = """questions AS (SELECT v.vec_id AS query_id, concat('  Which limits apply near ', coalesce(v.source, 'here'), '? ') AS question,
@@ -194,7 +206,7 @@ def _prompt_sql(suffix: str, with_prediction: bool) -> str:
     _prompt_sql("_", True), *FOUND_PARTS, *_context("found", "_", 2500), *ASSESSED_PARTS, QUESTIONS
 ))
 def prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.prompt_table(questions(spark, sf_dir), stored(spark, sf_dir), "query_id")
+    return retrieval.prompt_table(questions(spark, sf_dir), found_condensed(spark, sf_dir), "query_id")
 
 
 @query("prompt_table_reduced", sql(
@@ -203,4 +215,4 @@ def prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     *_context("few", "_", 1200), *ASSESSED_PARTS, QUESTIONS,
 ))
 def prompt_table_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.reduced_prompt_table(questions(spark, sf_dir), stored(spark, sf_dir), "query_id")
+    return retrieval.reduced_prompt_table(questions(spark, sf_dir), found_condensed(spark, sf_dir), "query_id")

@@ -247,10 +247,25 @@ def _first_per_opening(flat: DataFrame, query: str, rank: str) -> DataFrame:
     return marked.withColumn("_at", F.row_number().over(w)).filter("_at = 1").drop("_at", "_mark")
 
 
-def _flat_unique(chunks: DataFrame, query: str, rank: str) -> DataFrame:
-    """De-duplicated chunks with their text already on one line."""
-    flat = chunks.filter(has_content(F.col("text"))).select(
-        query, rank, "similarity", F.coalesce("source", F.lit(UNKNOWN_SOURCE)).alias("source"), collapse(F.col("text")).alias("_flat")
+def condensed(texts: DataFrame, text: str = "text", max_chars: int = cfg.MAX_CONTEXT_CHARS) -> DataFrame:
+    """``texts`` with what a context of ``max_chars`` needs in place of the text: its beginning on one line (``opening``) and the
+    length of the whole line (``flat_chars``). Rows without content go.
+
+    Texts are long and found by many queries, so do this once per document, before hits are joined with it.
+    """
+    rest = [c for c in texts.columns if c != text]
+    flat = texts.filter(has_content(F.col(text))).select(*rest, collapse(F.col(text)).alias("_flat"))
+    return flat.select(
+        *rest, F.left("_flat", F.lit(max(max_chars, cfg.FINGERPRINT_CHARS))).alias("opening"), F.length("_flat").alias("flat_chars")
+    )
+
+
+def _flat_unique(chunks: DataFrame, query: str, max_chars: int, rank: str) -> DataFrame:
+    """De-duplicated chunks with the beginning of their text on one line; ``chunks`` carry a text or are condensed already."""
+    if "text" in chunks.columns:
+        chunks = condensed(chunks.select(query, rank, "similarity", "source", "text"), max_chars=max_chars)
+    flat = chunks.select(
+        query, rank, "similarity", F.coalesce("source", F.lit(UNKNOWN_SOURCE)).alias("source"), F.col("opening").alias("_flat"), "flat_chars"
     )
     return _first_per_opening(flat, query, rank)
 
@@ -260,47 +275,36 @@ def context_entries(
 ) -> DataFrame:
     """De-duplicated, numbered context entries that fit the budget; the one crossing it is cut and
     marked with an ellipsis."""
-    return _entries(_flat_unique(chunks, query, rank), query, max_chars, rank)
+    placed = _placed(_flat_unique(chunks, query, max_chars, rank), query, max_chars, rank)
+    return placed.filter("entry IS NOT NULL").select(query, "entry_no", "source", "entry")
 
 
-def _entries(unique: DataFrame, query: str, max_chars: int, rank: str) -> DataFrame:
-    """An entry is kept while the entries before it, uncut, stay below the budget."""
+def _placed(unique: DataFrame, query: str, max_chars: int, rank: str) -> DataFrame:
+    """Every chunk with its number and its entry. There is an entry while the entries before it, uncut, stay below the budget."""
     order = Window.partitionBy(query).orderBy(F.desc("similarity"), rank)
-    numbered = unique.withColumn("entry_no", F.row_number().over(order))
+    numbered = unique.withColumn("entry_no", F.row_number().over(order).cast("bigint"))
     head = F.concat(F.lit("["), F.col("entry_no").cast("string"), F.lit("] "), "source", F.lit(":\n"))
     shaped = numbered.withColumn("_head", head)
-    full = F.length("_head") + F.length("_flat")
-    before = F.coalesce(
-        F.sum(full).over(Window.partitionBy(query).orderBy("entry_no").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    placed = shaped.withColumn("_left", F.lit(max_chars) - before).filter("_left > 0")
+    full = F.length("_head") + F.col("flat_chars")
+    before = F.sum(full).over(Window.partitionBy(query).orderBy("entry_no").rowsBetween(Window.unboundedPreceding, -1))
+    placed = shaped.withColumn("_left", F.lit(max_chars) - F.coalesce(before, F.lit(0)))
     body = F.when(
-        F.length("_flat") > F.col("_left"), F.concat(F.left("_flat", F.col("_left").cast("int")), F.lit("…"))
-    ).otherwise(F.col("_flat"))
-    return placed.select(
-        query, F.col("entry_no").cast("bigint"), "source", F.concat("_head", body).alias("entry")
-    )
+        F.col("flat_chars") > F.col("_left"), F.concat(F.left("_flat", F.col("_left").cast("int")), F.lit("…"))
+    ).otherwise(F.col("_flat"))  # an opening is as long as the budget, so what fits is whole
+    return placed.select(query, "entry_no", "source", F.when(F.col("_left") > 0, F.concat("_head", body)).alias("entry"))
 
 
 def context_blocks(
     chunks: DataFrame, query: str, max_chars: int = cfg.MAX_CONTEXT_CHARS, rank: str = "rank"
 ) -> DataFrame:
-    """Packed context per query with its length and the number of distinct chunks.
-
-    Reads ``chunks`` twice, so pass a stored (or staged) table when it comes from a search.
-    """
-    entries = _entries(_flat_unique(chunks, query, rank), query, max_chars, rank)
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("entry_no", "entry"))), lambda e: e["entry"])
+    """Packed context per query with its length and the number of distinct chunks, in one pass over ``chunks``."""
+    placed = _placed(_flat_unique(chunks, query, max_chars, rank), query, max_chars, rank)
+    fitting = F.when(F.col("entry").isNotNull(), F.struct("entry_no", "entry"))
+    listed = F.transform(F.array_sort(F.collect_list(fitting)), lambda e: e["entry"])
     # bounded by the budget: every entry that is kept has a heading and starts below it
-    blocks = entries.groupBy(query).agg(
-        F.array_join(listed, "\n\n").alias("context"), F.sum(F.length("entry")).alias("context_chars")
-    )
-    opening = F.left(collapse(F.col("text")), F.lit(cfg.FINGERPRINT_CHARS))
-    counts = chunks.filter(has_content(F.col("text"))).groupBy(query).agg(
-        F.countDistinct(opening).alias("chunks_used")
+    return placed.groupBy(query).agg(
+        F.count(F.lit(1)).alias("chunks_used"), F.array_join(listed, "\n\n").alias("context"), F.sum(F.length("entry")).alias("context_chars")
     )
-    return counts.join(blocks, query, "left")
 
 
 def labelled_fields(fields: dict[str, str], available: Sequence[str], joiner: str, separator: str) -> Column:
