@@ -11,7 +11,7 @@ from airsight.catalog.registry import dec, query, snap, sql
 from airsight.functions import validation
 from airsight.operators import cleaning, profile, splits, timeseries
 from airsight.operators.corpus import chunk_documents, document_record, manifest_diff, supported
-from airsight.operators.ordered import row_numbers
+from airsight.operators.ordered import groups_fit, row_numbers
 from airsight.sources.tables import read_or_none
 
 KEY4 = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -452,8 +452,9 @@ def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     "readings", CLEAN, FILLED, SPLIT,
 ))
 def lookback_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = timeseries.time_split(filled_readings(spark, sf_dir), ["series_id"], "ts", "event_id", validation_fraction=0.1)
-    sequences = timeseries.lookback_sequences(split, ["series_id"], ["ts", "event_id"], ["reading"])
+    fits = groups_fit(adapter(spark, sf_dir, "readings"), ["series_id"])
+    split = timeseries.time_split(filled_readings(spark, sf_dir), ["series_id"], "ts", "event_id", validation_fraction=0.1, fits=fits)
+    sequences = timeseries.lookback_sequences(split, ["series_id"], ["ts", "event_id"], ["reading"], fits=fits)
     steps = F.transform("sequence", lambda s: s["reading"].cast("string"))
     return sequences.select("series_id", "event_id", "reading", "part", F.array_join(steps, ",").alias("sequence"))
 
@@ -463,7 +464,8 @@ def lookback_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     "readings", CLEAN, FILLED,
 ))
 def aq_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = timeseries.feature_table(filled_readings(spark, sf_dir), ["series_id"], "ts", ["event_id"], "reading")
+    fits = groups_fit(adapter(spark, sf_dir, "readings"), ["series_id"])
+    table = timeseries.feature_table(filled_readings(spark, sf_dir), ["series_id"], "ts", ["event_id"], "reading", fits=fits)
     return _rounded_means(table)
 
 

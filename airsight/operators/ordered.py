@@ -38,6 +38,12 @@ def large_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     return stage(sizes.select(*keys, "_rows"), "large-groups")
 
 
+def groups_fit(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether every key fits a task. Steps that keep or drop rows stay within it, so a chain of steps may count its keys
+    once and pass the answer on as ``fits``."""
+    return large_groups(df, keys) is None
+
+
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     match = F.lit(True)
     for k in keys:
@@ -227,6 +233,7 @@ def sliding_arrow(
     after: int,
     compute: Callable[[pa.Table], dict[str, pa.Array]],
     names: Sequence[str],
+    fits: bool = False,
 ) -> DataFrame:
     """Like ``sliding`` for wide frames: ``compute`` gets one ordered group and returns the new double columns ``names``.
 
@@ -246,7 +253,7 @@ def sliding_arrow(
         new = [T.StructField(n, T.DoubleType()) for n in names]
         return d.groupBy(*group).applyInArrow(per_group, T.StructType([*d.schema.fields, *new]))
 
-    hot = large_groups(df, keys)
+    hot = None if fits else large_groups(df, keys)
     if hot is None:
         return apply_to(df, keys, order)
     cold_rows, hot_rows = _split(df, hot, keys)

@@ -7,6 +7,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from airsight import advice_text as text
 from airsight import config as cfg
 from airsight.functions.text import collapse, has_content, strip, token_estimate
-from airsight.session import max_broadcast_bytes
+from airsight.session import max_broadcast_bytes, stage
 
 #: What stands for an absent source or category.
 UNKNOWN_SOURCE, DEFAULT_CATEGORY = "unknown", "General"
@@ -113,21 +115,29 @@ def _against_blocks(queries, corpus, query_id, corpus_id, vector, k, schema, n_q
     q_blocks, c_blocks = math.ceil(n_queries / rows_per_block), math.ceil(n_corpus / rows_per_block)
     block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
     left = queries.select(
-        F.col(query_id), F.col(vector), block(query_id, q_blocks).alias("_q"), F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("_c")
+        F.col(query_id), F.col(vector).alias("_query"), block(query_id, q_blocks).alias("_q"), F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("_c")
     )
     right = corpus.select(
-        F.col(corpus_id), F.col(vector), block(corpus_id, c_blocks).alias("_c"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("_q")
+        F.col(corpus_id), F.col(vector).alias("_row"), block(corpus_id, c_blocks).alias("_c"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("_q")
     )
 
+    search = _search_block(query_id, corpus_id, k, schema)
+    return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(search, schema)
+
+
+def _search_block(query_id: str, corpus_id: str, k: int, schema: T.StructType):
+    """One block of queries (``_query``) against one block of the corpus (``_row``): the best k of each query. The two vectors are
+    renamed because a cogroup mixes up columns that both sides take from one table."""
+
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
             empty = [pa.array([], type=a[query_id].type), pa.array([], type=b[corpus_id].type), pa.array([], type=pa.float64())]
             return pa.Table.from_arrays(empty, names=schema.names)
         best = _Best(a.num_rows, k)
-        best.add(_matrix(a[vector]), _matrix(b[vector]), _ids(b[corpus_id]))
+        best.add(_matrix(a["_query"]), _matrix(b["_row"]), _ids(b[corpus_id]))
         return pa.Table.from_arrays(best.columns(_ids(a[query_id])), names=schema.names)
 
-    return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(search, schema)
+    return search
 
 
 def _searchable(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -164,6 +174,11 @@ def vector_topk(
         best = _against_blocks(
             queries, corpus, query_id, corpus_id, vector, k, schema, size["n"], corpus.count(), max(1, limit // width)
         )
+    return _ranked(best, query_id, corpus_id, k, threshold)
+
+
+def _ranked(best: DataFrame, query_id: str, corpus_id: str, k: int, threshold: float) -> DataFrame:
+    """The best k of the blocks' best, as ``vector_topk`` returns them."""
     w = Window.partitionBy(query_id).orderBy(F.round("_sim", 10).desc(), corpus_id)
     ranked = best.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
     similarity = F.greatest(F.lit(0.0), F.col("_sim"))
@@ -172,6 +187,82 @@ def vector_topk(
     )
 
 
+#: Vectors that cells are fitted on at most, and cells at most.
+CELL_SAMPLE, MAX_CELLS = 100_000, 4096
+
+
+def _centres(corpus: DataFrame, corpus_id: str, vector: str, cells: int, n_corpus: int, seed: int) -> np.ndarray:
+    """Directions of ``cells`` groups of vectors, fitted on about ``CELL_SAMPLE`` of them at most, chosen by a hash of the id."""
+    ring = 1 << 30
+    share = F.pmod(F.xxhash64(F.lit(seed), corpus_id), F.lit(ring)) < int(ring * min(1.0, CELL_SAMPLE / max(n_corpus, 1)))
+    points = corpus.filter(share).select(F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    points = points.filter(F.exists("v", lambda x: x != 0)).select(array_to_vector("v").alias("features"))
+    if cells < 2 or points.isEmpty():
+        return np.zeros((1, 1))  # one cell holds all
+    model = KMeans(k=cells, distanceMeasure="cosine", maxIter=10, seed=seed).fit(points)
+    centres = np.array(model.clusterCenters())
+    return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+
+
+def _placed_in_cells(rows: DataFrame, key: str, vector: str, centres: np.ndarray, probes: int) -> DataFrame:
+    """Every vector once for each of its ``probes`` nearest cells."""
+    shared = rows.sparkSession.sparkContext.broadcast(centres)  # at most MAX_CELLS rows
+    probes = min(probes, len(centres))
+    slim = rows.select(key, vector)
+    names = [*slim.columns, "_cell"]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if len(shared.value) == 1:
+                near = np.zeros((batch.num_rows, 1), dtype=np.int32)
+            else:
+                near = np.argsort(-(_matrix(batch[vector]) @ shared.value.T), axis=1, kind="stable")[:, :probes]
+            again = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1])))
+            yield pa.RecordBatch.from_arrays([*again.columns, pa.array(near.ravel().astype(np.int32))], names=names)
+
+    return slim.mapInArrow(place, T.StructType([*slim.schema.fields, T.StructField("_cell", T.IntegerType())]))
+
+
+def vector_topk_pruned(
+    queries: DataFrame,
+    corpus: DataFrame,
+    query_id: str,
+    corpus_id: str,
+    vector: str = "embedding",
+    k: int = cfg.TOP_K,
+    threshold: float = cfg.SIMILARITY_THRESHOLD,
+    cells: int | None = None,
+    probes: int = 8,
+    seed: int = cfg.SEED,
+) -> DataFrame:
+    """Like ``vector_topk`` for many queries over a large corpus, but each query sees its ``probes`` nearest cells only.
+
+    Cells are K-means groups by angle (the square root of the corpus size by default, ``MAX_CELLS`` at most). Every corpus vector is in one
+    cell. A cell that holds many vectors or is asked by many queries is cut into blocks of ``airsight.maxBroadcastBytes``, and each pair of
+    blocks of a cell is one matrix product. Similarities are exact; a neighbour in a cell that was not probed is missed. With
+    ``probes`` as large as ``cells`` nothing is missed. Absent ids and vectors are left out as in ``vector_topk``.
+    """
+    queries, corpus = _searchable(queries, query_id, vector), _searchable(corpus, corpus_id, vector)
+    size = corpus.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("dim")).first()
+    n_cells = min(cells or max(1, round(math.sqrt(size["n"]))), MAX_CELLS)
+    centres = _centres(corpus, corpus_id, vector, n_cells, size["n"], seed)
+    asked = stage(_placed_in_cells(queries, query_id, vector, centres, probes), "asked-cells")
+    held = stage(_placed_in_cells(corpus, corpus_id, vector, centres, 1), "held-cells")
+    per_block = max(1, max_broadcast_bytes(corpus.sparkSession) // ((size["dim"] or 1) * 8))
+    blocks = lambda rows, name: rows.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / per_block).cast("int").alias(name))
+    both = F.broadcast(stage(blocks(asked, "_qs").join(blocks(held, "_cs"), "_cell"), "cell-blocks"))  # at most MAX_CELLS rows
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n).cast("long")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = asked.join(both, "_cell").select(query_id, F.col(vector).alias("_query"), "_cell", own(query_id, "_qs").alias("_q"), every("_cs").alias("_c"))
+    right = held.join(both, "_cell").select(corpus_id, F.col(vector).alias("_row"), "_cell", own(corpus_id, "_cs").alias("_c"), every("_qs").alias("_q"))
+    schema = _top_schema(queries, corpus, query_id, corpus_id)
+    by = ["_cell", "_q", "_c"]
+    best = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_search_block(query_id, corpus_id, k, schema), schema)
+    return _ranked(best, query_id, corpus_id, k, threshold)
+
+
 # --- citations ----------------------------------------------------------------
 
 

@@ -58,6 +58,33 @@ def test_vector_topk(spark, limit):
     assert mine == nearest_by_hand(queries, rows, 5, 0.3)
 
 
+@pytest.mark.parametrize("limit", [None, "20000"])
+def test_pruned_search_against_exact(spark, limit):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(25, 16)) * 2
+    rows = centres[rng.integers(0, 25, 1200)] + rng.normal(size=(1200, 16))
+    rows[::3] = centres[0] + rng.normal(size=(400, 16)) * 0.2  # a third of the corpus is one hot cell
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)] + [(5000, None), (None, rows[0].tolist()), (5001, [0.0] * 16)], "id long, embedding array<double>")
+    asked = df.select(F.col("id").alias("q"), "embedding").repartition(5)
+    if limit:
+        spark.conf.set("airsight.maxBroadcastBytes", limit)
+    try:
+        exact, pruned, whole = (
+            {tuple(r) for r in found.select("q", "id", "similarity").collect()}
+            for found in (
+                retrieval.vector_topk(asked, df, "q", "id", k=5, threshold=0.3),
+                retrieval.vector_topk_pruned(asked, df, "q", "id", k=5, threshold=0.3),
+                retrieval.vector_topk_pruned(asked, df, "q", "id", k=5, threshold=0.3, cells=10, probes=10),
+            )
+        )
+    finally:
+        spark.conf.unset("airsight.maxBroadcastBytes")
+    assert whole == exact and len(exact) > 5000
+    assert len(exact & pruned) >= 0.95 * len(exact) and len(pruned) <= len(exact)
+    assert retrieval.vector_topk_pruned(asked, df.limit(0), "q", "id").count() == 0
+    assert retrieval.vector_topk_pruned(asked.limit(0), df, "q", "id").count() == 0
+
+
 def test_vector_topk_with_text_ids_and_few_rows(spark):
     corpus_df = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0])], "id string, embedding array<double>")
     queries = spark.createDataFrame([("q", [1.0, 0.0])], "q string, embedding array<double>")
