@@ -1,4 +1,4 @@
-"""Substring deduplication on sliding spans of consecutive sentences."""
+"""Substring deduplication on the shortest spans of consecutive sentences that are a passage."""
 
 from __future__ import annotations
 
@@ -15,8 +15,8 @@ from airsight.llm.common import fresh
 from airsight.llm.shingles import mix, slices
 from airsight.session import lookup, stage
 
-#: Consecutive sentences of a span, and the words that a span of so many needs: a few short sentences meet by chance, and where
-#: sentences are long two of them are a passage already.
+#: Consecutive sentences of a span, and the words that a span of so many needs. Any longer run with the fewest of these sentences and of
+#: these words is a span as well, so short sentences make one too.
 SPANS = {3: 15, 2: 30}
 
 #: Where a sentence ends: behind marks with one of ``.!?`` among them before white space, or behind a line feed.
@@ -32,26 +32,36 @@ def sentences(text: str | None) -> list[str]:
     return out + [text[at:]] if at < len(text) else out
 
 
+def shortest_runs(words: np.ndarray, sentences: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and length of the shortest run of ``sentences`` or more with ``least`` words from every sentence on, and of the shortest
+    up to every sentence, each once. ``words`` has the running totals, 0 first.
+
+    Every sentence of a longer run lies in one of these within it: in the shortest up to the sentence or, where that begins before the run, in
+    the shortest from the beginning of the run on. So two a sentence stand for runs of all lengths.
+    """
+    n = len(words) - 1
+    at = np.arange(n)
+    stop = np.maximum(at + sentences, np.searchsorted(words, words[:-1] + least))
+    start = np.minimum(at + 1 - sentences, np.searchsorted(words, words[1:] - least, side="right") - 1)
+    ahead, back = stop <= n, start >= 0
+    found = np.unique(np.concatenate([np.stack([at, stop - at], 1)[ahead], np.stack([start, at + 1 - start], 1)[back]]), axis=0)
+    return found[:, 0], found[:, 1]
+
+
 def span_hashes(pieces: list[str], spans: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first sentence and length of every run of consecutive sentences with enough words; blank sentences are skipped over."""
+    """Hash, first sentence and length of the shortest runs of consecutive sentences with enough words; blank sentences are skipped over."""
     bare = [s.split() for s in pieces if not s.isspace()]
     hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(w)) for w in bare], dtype=np.uint64)
-    words = np.cumsum([0] + [len(w) for w in bare])
-    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
-    for length, least in spans.items():
-        runs = len(bare) - length + 1
-        if runs < 1:
-            continue
-        total = np.full(runs, length, dtype=np.uint64)
-        for k in range(length):
-            total = mix(total * np.uint64(31) + hashes[k : k + runs] + np.uint64(k))
-        at = np.flatnonzero(words[length:] - words[:-length] >= least)
-        found.append((total[at], at, np.full(len(at), length)))
-    return tuple(np.concatenate(c) for c in zip(*found))
+    at, length = shortest_runs(np.cumsum([0] + [len(w) for w in bare]), min(spans), min(spans.values()))
+    total = length.astype(np.uint64)
+    for k in range(int(length.max(initial=0))):  # a sentence has a word at least, so no run has more of them than it needs words
+        more = np.flatnonzero(length > k)
+        total[more] = mix(total[more] * np.uint64(31) + hashes[at[more] + k] + np.uint64(k))
+    return total, at, length
 
 
 def _spans(spans: dict[int, int]):
-    """(doc, text) to (span, doc, at, sentences): a row per run, ``at`` counts the sentences that are not blank."""
+    """(doc, text) to (span, doc, at, sentences): at most two rows a sentence, ``at`` counts the sentences that are not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,10 +120,11 @@ def drop_repeated_spans(
 ) -> DataFrame:
     """``docs`` with all sentences cut that a repeated span covers, unless the span is its first, and their number in ``n_removed``.
 
-    A span is a run of sentences: ``spans`` maps their number to the words they need together. Sentences end at a line feed or behind
-    marks with one of ``.!?`` before white space; they are compared by their words, so white space between words does not matter. Spans are
-    compared by 64-bit hashes. What is not cut stays as it is, with its separators. No document goes; one that only repeats
-    others is left with an empty text.
+    A span is a run of sentences: ``spans`` maps their number to the words they need together, and every run with the fewest of these
+    sentences and words or more is one, however many sentences that takes. Sentences end at a line feed or behind marks with one of
+    ``.!?`` before white space; they are compared by their words, so white space between words does not matter. Spans are compared by
+    64-bit hashes. What is not cut stays as it is, with its separators. No document goes; one that only repeats others is left with an
+    empty text.
 
     Null texts stay null; texts of fewer sentences are not touched. Rows that repeat an id count as one document at the
     same places: the first of equal spans there stays in each. A null id comes first. No rows give no rows. Extra columns

@@ -66,3 +66,42 @@ def test_sentences_cover_the_text():
     assert s.sentences("A b. C d!*** x.y z\nw") == ["A b. ", "C d!*** ", "x.y z\n", "w"]
     long = "." * 200_000 + "x " + ".$" * 100_000  # linear in the text, whatever the marks
     assert "".join(s.sentences(long)) == long
+
+
+def every_run(rows):
+    """Every run with enough words, however many sentences it has; what is left of each text."""
+    first, runs = {}, []
+    for k, (doc, text) in enumerate(rows):
+        words = [p.split() for p in s.sentences(text) if not p.isspace()]
+        for at in range(len(words)):
+            for end in range(at + 1, len(words) + 1):
+                run = tuple(map(tuple, words[at:end]))
+                if len(run) >= 2 and sum(map(len, run)) >= 15:
+                    runs.append((k, at, run, (doc, at)))
+                    first[run] = min(first.get(run, (doc, at)), (doc, at))
+    gone = [set() for _ in rows]
+    for k, at, run, place in runs:
+        if place != first[run]:
+            gone[k].update(range(at, at + len(run)))
+    out = []
+    for k, (_, text) in enumerate(rows):
+        n, kept = -1, []
+        for p in s.sentences(text):
+            n += not p.isspace()
+            kept += [p] * (n not in gone[k])
+        out.append("".join(kept))
+    return out
+
+
+def test_short_sentences(spark):
+    rng = random.Random(4)
+    word = lambda n: " ".join(f"v{rng.randrange(5000)}" for _ in range(n))
+    ones = "".join(f"{word(1)}.\n" for _ in range(60))
+    fours = "".join(f"{word(rng.randrange(1, 5))}! " for _ in range(40))
+    tail = word(14) + ". " + "".join(f"{word(1)}. " for _ in range(6))  # the words stand before, so no span begins in its end
+    rows = [(i, f"{word(3)}. {word(9)}. {p}{word(6)}. {word(7)}. ") for i, p in enumerate([ones, ones, fours, fours, tail, tail, ones[:40], ""])]
+    rows += [(20, ones), (21, fours), (22, "go. " * 40), (23, "go. " * 10)]
+    got = {r["doc_id"]: r["text"] for r in s.drop_repeated_spans(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).collect()}
+    assert [got[i] for i, _ in rows] == every_run(rows)
+    assert got[20] == got[21] == "" and not any(w in got[1] for w in ones.split()) and not any(w in got[5] for w in tail.split())
+    assert got[22] == "go. " and got[23] == rows[-1][1]  # ten words are too few
