@@ -109,8 +109,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
        shards in the same way. A shard is a hash class of a source's documents; a source has as many as its size
        needs, so a source with a third of all words is spread over many tasks.
     4. In a shard the documents stand in an order drawn from the seed. Their running totals place them on a line of words
-       that is cut into blocks. Each full repeat takes every block once, the remaining quota takes blocks by a seeded stride.
-       ``taken`` adds up the words of a document that lie in taken blocks.
+       that is cut into blocks, the last of them partial. The quota of a shard is the words of its seats, up to the limit of repeats. Each full
+       repeat takes every block once; the remaining words take blocks by a seeded stride, the last of them from its front, and reach the quota
+       to the word. ``taken`` adds up the words of a document that lie in taken blocks.
 
     Nothing depends on partitioning, so reruns agree. A document without words, or with a null text, has size 0 and is not
     taken; a source without words has target 0. A null source comes last. Rows that repeat an id are placed one by one.
@@ -133,23 +134,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     shard_sizes: dict[int, list[tuple[int, int]]] = {}
     for r in placed.groupBy("source_no", "shard").agg(F.sum("size").alias("n")).collect():  # at most MAX_SHARDS and one per source
         shard_sizes.setdefault(r["source_no"], []).append((r["shard"], r["n"]))
-    seats = sainte_lague(
-        plan.targets, round(sum(plan.sizes) / BLOCK_WORDS), [MAX_REPEATS * sum(-(-n // BLOCK_WORDS) for _, n in shard_sizes.get(i, [])) for i in range(len(plan.sources))]
-    )
+    most_seats = lambda n: -(-MAX_REPEATS * n // BLOCK_WORDS)
+    seats = sainte_lague(plan.targets, round(sum(plan.sizes) / BLOCK_WORDS), [most_seats(n) for n in plan.sizes])
     quotas = []
     for i, shards in sorted(shard_sizes.items()):
         shards.sort()
-        blocks = [-(-n // BLOCK_WORDS) for _, n in shards]
-        for (shard, _), b, q in zip(shards, blocks, sainte_lague([n for _, n in shards], seats[i], [MAX_REPEATS * b for b in blocks])):
-            quotas.append((i, shard, b, q // b if b else 0, q % b if b else 0, _stride(b) if b else 1, (SEED * (i + 1) + shard) % b if b else 0))
-    quota = spark.createDataFrame(quotas, "source_no int, shard int, blocks long, repeats long, rest long, stride long, shift long")
+        for (shard, n), q in zip(shards, sainte_lague([n for _, n in shards], seats[i], [most_seats(n) for _, n in shards])):
+            b, quota_words = -(-n // BLOCK_WORDS), min(q * BLOCK_WORDS, MAX_REPEATS * n)
+            stride, shift = (_stride(b), (SEED * (i + 1) + shard) % b) if b else (1, 0)
+            last = ((b - 1) * stride + shift) % b if b else 0
+            quotas.append((i, shard, b, quota_words // n if n else 0, quota_words % n if n else 0, stride, shift, last, b * BLOCK_WORDS - n))
+    columns = "source_no int, shard int, blocks long, repeats long, rest long, stride long, shift long, last long, missing long"
+    quota = spark.createDataFrame(quotas, columns)
     line = W.partitionBy("source_no", "shard").orderBy("drawn", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     on_line = placed.withColumn("stop", F.sum("size").over(line)).join(sized(quota), ["source_no", "shard"])
     start = F.col("stop") - F.col("size")
 
     def overlap(block: Column) -> Column:
-        inside = F.least(F.col("stop"), (block + 1) * BLOCK_WORDS) - F.greatest(start, block * BLOCK_WORDS)
-        return F.when(F.pmod(block * F.col("stride") + F.col("shift"), F.col("blocks")) < F.col("rest"), inside).otherwise(F.lit(0).cast("long"))
+        turn = F.pmod(block * F.col("stride") + F.col("shift"), F.col("blocks"))
+        before = turn * BLOCK_WORDS - F.when(turn > F.col("last"), F.col("missing")).otherwise(F.lit(0).cast("long"))  # words of earlier turns
+        end = block * BLOCK_WORDS + F.least(F.lit(BLOCK_WORDS).cast("long"), F.col("rest") - before)
+        return F.greatest(F.lit(0).cast("long"), F.least(F.col("stop"), end) - F.greatest(start, block * BLOCK_WORDS))
 
     touched = F.sequence(F.floor(start / BLOCK_WORDS), F.floor((F.col("stop") - 1) / BLOCK_WORDS))
     extra = F.aggregate(touched, F.lit(0).cast("long"), lambda total, block: total + overlap(block))

@@ -63,3 +63,21 @@ def test_contract(spark, shard_words):
 
 def test_empty_table(spark):
     assert m.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("shard_words", [m.SHARD_WORDS, 5_000, 150])
+def test_small_sources_reach_their_targets(spark, shard_words):
+    rng = random.Random(8)
+    sizes = {"a": 20_000, "b": 20, "c": 70, "d": 20_000, "e": 200, "f": 1}
+    data = []
+    for source, left in sizes.items():
+        while left:
+            n = min(left, rng.choice([1, 7, 40, 130, 900]))
+            data.append((len(data), "w " * n, source, "x"))
+            left -= n
+    found = m.mix(spark.createDataFrame(data, SCHEMA), shard_words=shard_words).collect()
+    assert all(0 <= r["taken"] <= m.MAX_REPEATS * r["size"] for r in found)
+    for s, size in sizes.items():
+        mine = [r for r in found if r["source"] == s]
+        shards = 1 + size // shard_words
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= m.BLOCK_WORDS * (1 + shards), s  # a block for the source and one a shard
