@@ -15,9 +15,8 @@ from airsight.llm.common import fresh
 from airsight.llm.shingles import mix, slices
 from airsight.session import lookup, stage
 
-#: Consecutive sentences of a span, and the words that a span of so many needs. Any longer run with the fewest of these sentences and of
-#: these words is a span as well, so short sentences make one too.
-SPANS = {3: 15, 2: 30}
+#: A span is a run of consecutive sentences with so many sentences and words at least.
+LEAST_SENTENCES, LEAST_WORDS = 2, 15
 
 #: Where a sentence ends: behind marks with one of ``.!?`` among them before white space, or behind a line feed.
 END = re.compile(r"(?<![^\w\s])(?=[^\w\s]*[.!?])[^\w\s]++(?:[^\S\n]*+\n|[^\S\n]++|\Z)|\n")
@@ -48,29 +47,35 @@ def shortest_runs(words: np.ndarray, sentences: int, least: int) -> tuple[np.nda
     return found[:, 0], found[:, 1]
 
 
-def span_hashes(pieces: list[str], spans: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first sentence and length of the shortest runs of consecutive sentences with enough words; blank sentences are skipped over."""
+def span_hashes(pieces: list[str], least_sentences: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit hash (two columns), first sentence and length of the shortest runs of consecutive sentences with enough words; blank sentences are
+    skipped over."""
     bare = [s.split() for s in pieces if not s.isspace()]
-    hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(w)) for w in bare], dtype=np.uint64)
-    at, length = shortest_runs(np.cumsum([0] + [len(w) for w in bare]), min(spans), min(spans.values()))
-    total = length.astype(np.uint64)
-    for k in range(int(length.max(initial=0))):  # a sentence has a word at least, so no run has more of them than it needs words
+    hashes = np.frombuffer(b"".join(xxhash.xxh3_128_digest(" ".join(w)) for w in bare), dtype=np.uint64).reshape(-1, 2)
+    at, length = shortest_runs(np.cumsum([0] + [len(w) for w in bare]), least_sentences, least_words)
+    total = np.repeat(length.astype(np.uint64)[:, None], 2, axis=1)
+    # no run has more sentences than it needs, or than it needs words, as a sentence has a word at least
+    for k in range(int(length.max(initial=0))):
         more = np.flatnonzero(length > k)
-        total[more] = mix(total[more] * np.uint64(31) + hashes[at[more] + k] + np.uint64(k))
+        total[more] = mix(total[more] * _FACTORS + hashes[at[more] + k] + np.uint64(k))
     return total, at, length
 
 
-def _spans(spans: dict[int, int]):
-    """(doc, text) to (span, doc, at, sentences): at most two rows a sentence, ``at`` counts the sentences that are not blank."""
+_FACTORS = np.array([31, 0x9E3779B97F4A7C15], dtype=np.uint64)
+
+
+def _spans(least_sentences: int, least_words: int):
+    """(doc, text) to (span_a, span_b, doc, at, sentences): at most two rows a sentence, ``at`` counts the sentences that are not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                found = [span_hashes(sentences(t), spans) for t in piece.column("text").to_pylist()]
+                found = [span_hashes(sentences(t), least_sentences, least_words) for t in piece.column("text").to_pylist()]
                 hashes, at, length = (np.concatenate(c) for c in zip(*found))
                 doc = piece.column("doc").take(pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), doc, pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))], names=["span", "doc", "at", "sentences"]
+                    [*(pa.array(np.ascontiguousarray(hashes[:, i]).view(np.int64)) for i in (0, 1)), doc, pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))],
+                    names=["span_a", "span_b", "doc", "at", "sentences"],
                 )
 
     return run
@@ -101,37 +106,38 @@ def _cut(text: str, covered: str, removed: str):
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", spans: dict[int, int] = SPANS) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", least_sentences: int = LEAST_SENTENCES, least_words: int = LEAST_WORDS
+) -> DataFrame:
     """(doc, at, sentences): every span that is not the first with its hash. First is the least document id, then the least place.
 
     Firsts are aggregated inside the tasks before the shuffle. Only hashes of repeated spans remain to be joined, and spans meet
     them on the hash; a passage that a third of the documents share is a skewed join key, which adaptive execution splits.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text"))
-    runs = stage(texts.mapInArrow(_spans(spans), "span long, doc long, at int, sentences int"), "spans")
-    firsts = runs.groupBy("span").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
-    firsts = lookup(firsts.filter("n > 1").select(F.col("span").alias("repeated"), "first"), "repeated-spans")
-    met = runs.join(firsts, F.col("span") == F.col("repeated"))
+    runs = stage(texts.mapInArrow(_spans(least_sentences, least_words), "span_a long, span_b long, doc long, at int, sentences int"), "spans")
+    firsts = runs.groupBy("span_a", "span_b").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
+    firsts = lookup(firsts.filter("n > 1").drop("n"), "repeated-spans")
+    met = runs.join(firsts, ["span_a", "span_b"])
     return met.filter(~F.struct("doc", "at").eqNullSafe(F.col("first"))).select("doc", "at", "sentences")
 
 
 def drop_repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", spans: dict[int, int] = SPANS
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", least_sentences: int = LEAST_SENTENCES, least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """``docs`` with all sentences cut that a repeated span covers, unless the span is its first, and their number in ``n_removed``.
 
-    A span is a run of sentences: ``spans`` maps their number to the words they need together, and every run with the fewest of these
-    sentences and words or more is one, however many sentences that takes. Sentences end at a line feed or behind marks with one of
+    A span is every run of ``least_sentences`` or more consecutive sentences that have ``least_words`` or more words together. Sentences end at a line feed or behind marks with one of
     ``.!?`` before white space; they are compared by their words, so white space between words does not matter. Spans are compared by
-    64-bit hashes. What is not cut stays as it is, with its separators. No document goes; one that only repeats others is left with an
+    128-bit hashes. What is not cut stays as it is, with its separators. No document goes; one that only repeats others is left with an
     empty text.
 
-    Null texts stay null; texts of fewer sentences are not touched. Rows that repeat an id count as one document at the
+    A text of any length gives two spans a sentence at most, and is cut in one piece. Null texts stay null; texts of fewer sentences are not touched. Rows that repeat an id count as one document at the
     same places: the first of equal spans there stays in each. A null id comes first. No rows give no rows. Extra columns
     pass through; ``n_removed`` gets underscores in front where the input has the name.
     """
     mine, covered, removed = fresh("span_doc", docs.columns), fresh("covered", docs.columns), fresh("n_removed", docs.columns)
-    again = repeated_spans(docs, id_col, text, spans)
+    again = repeated_spans(docs, id_col, text, least_sentences, least_words)
     each = again.select(F.col("doc").alias(mine), F.explode(F.sequence("at", F.col("at") + F.col("sentences") - 1)).alias("at")).distinct()
     per_doc = each.groupBy(mine).agg(F.collect_list("at").alias(covered))  # at most the sentences of a document
     per_doc = lookup(per_doc, "covered")

@@ -21,29 +21,29 @@ def tables():
     return rows
 
 
-def brute(rows):
+def every_run(rows, sentences=2, least=15):
+    """Every run with enough sentences and words: (id, what is left of the text, number of cut sentences) of each row."""
     first, runs = {}, []
     for k, (doc, text) in enumerate(rows):
         words = [p.split() for p in s.sentences(text) if not p.isspace()]
-        for length, least in s.SPANS.items():
-            for at in range(len(words) - length + 1):
-                run = tuple(map(tuple, words[at : at + length]))
+        place = -1 if doc is None else doc
+        for at in range(len(words)):
+            for end in range(at + sentences, len(words) + 1):
+                run = tuple(map(tuple, words[at:end]))
                 if sum(map(len, run)) >= least:
-                    place = (-1 if doc is None else doc, at)
-                    runs.append((k, at, run, place))
-                    first[run] = min(first.get(run, place), place)
-    gone = {}
+                    runs.append((k, at, run, (place, at)))
+                    first[run] = min(first.get(run, (place, at)), (place, at))
+    gone = [set() for _ in rows]
     for k, at, run, place in runs:
         if place != first[run]:
-            gone.setdefault(k, set()).update(range(at, at + len(run)))
+            gone[k].update(range(at, at + len(run)))
     out = []
     for k, (doc, text) in enumerate(rows):
-        kept, n = [], -1
+        n, kept = -1, []
         for p in s.sentences(text):
             n += not p.isspace()
-            if n not in gone.get(k, ()):
-                kept.append(p)
-        out.append((doc, "".join(kept) if gone.get(k) else text, len(gone.get(k, ()))))
+            kept += [p] * (n not in gone[k])
+        out.append((doc, "".join(kept) if gone[k] else text, len(gone[k])))
     return out
 
 
@@ -52,7 +52,7 @@ def test_spans_equal_brute_force(spark):
     found = s.drop_repeated_spans(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(4))
     assert found.columns == ["doc_id", "text", "n_removed", "_n_removed"]
     got = sorted(((r["doc_id"], r["text"], r["_n_removed"]) for r in found.collect()), key=repr)
-    want = sorted(brute(rows), key=repr)
+    want = sorted(every_run(rows), key=repr)
     assert got == want and sum(n > 0 for _, _, n in want) > 15
 
 
@@ -68,31 +68,6 @@ def test_sentences_cover_the_text():
     assert "".join(s.sentences(long)) == long
 
 
-def every_run(rows):
-    """Every run with enough words, however many sentences it has; what is left of each text."""
-    first, runs = {}, []
-    for k, (doc, text) in enumerate(rows):
-        words = [p.split() for p in s.sentences(text) if not p.isspace()]
-        for at in range(len(words)):
-            for end in range(at + 1, len(words) + 1):
-                run = tuple(map(tuple, words[at:end]))
-                if len(run) >= 2 and sum(map(len, run)) >= 15:
-                    runs.append((k, at, run, (doc, at)))
-                    first[run] = min(first.get(run, (doc, at)), (doc, at))
-    gone = [set() for _ in rows]
-    for k, at, run, place in runs:
-        if place != first[run]:
-            gone[k].update(range(at, at + len(run)))
-    out = []
-    for k, (_, text) in enumerate(rows):
-        n, kept = -1, []
-        for p in s.sentences(text):
-            n += not p.isspace()
-            kept += [p] * (n not in gone[k])
-        out.append("".join(kept))
-    return out
-
-
 def test_short_sentences(spark):
     rng = random.Random(4)
     word = lambda n: " ".join(f"v{rng.randrange(5000)}" for _ in range(n))
@@ -102,6 +77,16 @@ def test_short_sentences(spark):
     rows = [(i, f"{word(3)}. {word(9)}. {p}{word(6)}. {word(7)}. ") for i, p in enumerate([ones, ones, fours, fours, tail, tail, ones[:40], ""])]
     rows += [(20, ones), (21, fours), (22, "go. " * 40), (23, "go. " * 10)]
     got = {r["doc_id"]: r["text"] for r in s.drop_repeated_spans(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).collect()}
-    assert [got[i] for i, _ in rows] == every_run(rows)
+    assert [got[i] for i, _ in rows] == [t for _, t, _ in every_run(rows)]
     assert got[20] == got[21] == "" and not any(w in got[1] for w in ones.split()) and not any(w in got[5] for w in tail.split())
     assert got[22] == "go. " and got[23] == rows[-1][1]  # ten words are too few
+
+
+def test_the_rule_is_its_two_numbers(spark):
+    word = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    rows = [(i, f"{word(f'o{i}', 6)}. {word(f'x{n}', n - 5)}. {word(f'y{n}', 5)}. {word(f'p{i}', 6)}.") for i, n in enumerate([14, 14, 15, 15, 22, 22, 29, 29, 30, 30])]
+    for sentences, least in ((2, 15), (2, 30), (3, 15), (1, 9)):
+        found = s.drop_repeated_spans(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA), least_sentences=sentences, least_words=least).orderBy("doc_id").collect()
+        assert [(r["doc_id"], r["text"], r["_n_removed"]) for r in found] == every_run(rows, sentences, least)
+        removed = [r["_n_removed"] for r in found][1::2]
+        assert removed == {(2, 15): [0, 2, 2, 2, 2], (2, 30): [0, 0, 0, 0, 2], (3, 15): [0] * 5, (1, 9): [2] * 5}[sentences, least]
