@@ -18,8 +18,7 @@ from airsight.session import stage
 
 #: Labelled documents to learn from at most; of more, those with the least hashes of their ids are taken.
 MAX_TRAINING_DOCS = 50_000
-#: Tokens the model keeps at most, those with the clearest log-odds. Only tokens beyond ``MIN_Z`` are kept at all.
-MAX_TOKENS = 200_000
+#: Standard errors from which on a token's log-odds are clear; all clear tokens of the training texts are kept.
 MIN_Z = 2.5
 #: Dirichlet prior of a token: so many pseudo-counts, and so many per training text of either kind that has it.
 PRIOR = (0.5, 0.01)
@@ -150,7 +149,7 @@ def _weights(counts: DataFrame, kinds: tuple[list[str], list[str]]) -> tuple[np.
     scored = counts.filter(y1 + y0 > 0).select("token", delta.alias("delta"), error.alias("error"), y1.alias("y1"), y0.alias("y0"))
     clear = scored.filter(F.abs("delta") >= MIN_Z * F.col("error"))
     weight = F.signum("delta") * (F.abs("delta") - MARGIN * F.col("error"))
-    top = clear.orderBy((F.abs("delta") / F.col("error")).desc(), "token").limit(MAX_TOKENS).select("token", weight.alias("weight"), "y1", "y0").toArrow()
+    top = clear.select("token", weight.alias("weight"), "y1", "y0").toArrow()
     tokens = top.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     rest1, rest0 = n1 - sum(top.column("y1").to_pylist()), n0 - sum(top.column("y0").to_pylist())
@@ -174,7 +173,7 @@ def _rate(tokens: np.ndarray, weights: np.ndarray, drift: float, share: np.ndarr
 
 
 def _profile(models: list[Model]):
-    """(text, toxic, fold) to (toxic, n, scores): a training text seen by the model of the other folds."""
+    """(text, toxic, fold) to (toxic, n, best): the best passage of a training text, seen by the model of the other folds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +182,7 @@ def _profile(models: list[Model]):
                 parts = np.split(tokens, np.cumsum(counts)[:-1])
                 scores = [[s for _, _, s in passages(t, models[f])] for t, f in zip(parts, piece.column("fold").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("toxic"), pa.array(counts), pa.array([sorted(s, reverse=True)[:20] for s in scores], pa.list_(pa.float64()))], names=["toxic", "n", "scores"]
+                    [piece.column("toxic"), pa.array(counts), pa.array([max(s, default=0.0) for s in scores], pa.float64())], names=["toxic", "n", "best"]
                 )
 
     return run
@@ -191,7 +190,7 @@ def _profile(models: list[Model]):
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text: str = "text") -> Model:
     """Learn the model. Token counts are Spark aggregates over the training texts; the driver gets the clear tokens
-    (``MAX_TOKENS``) and one line per training text (``MAX_TRAINING_DOCS``).
+    and one line per training text, both bounded by ``MAX_TRAINING_DOCS``, and tasks get the tokens as two sorted columns.
 
     Weights for the calibration are cross-fitted: a text is scored by weights from the other folds, so that its own words
     don't vouch for it. Without texts of both kinds nothing is clear and every score is that of the intercept.
@@ -205,9 +204,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
     others = [Model(*_weights(counts, (of(1, f), of(0, f)))) for f in range(FOLDS)]
     tokens, weights, drift = _weights(counts, (of(1), of(0)))
-    profile = texts.mapInArrow(_profile(others), "toxic int, n long, scores array<double>").toArrow()
+    profile = texts.mapInArrow(_profile(others), "toxic int, n long, best double").toArrow()
     y, n = profile.column("toxic").to_numpy().astype(float), profile.column("n").to_numpy()
-    scores = profile.column("scores").to_pylist()
+    best = profile.column("best").to_numpy()
     if not len(tokens) or not 0 < y.sum() < len(y):
         share = (y.sum() + 1) / (len(y) + 2)
         return Model(tokens[:0], weights[:0], drift, intercept=math.log(share / (1 - share)), slope=0.0)
@@ -218,17 +217,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     in_clean = dict(zip(found.column("token").to_numpy().view(np.uint64).tolist(), found.column("n").to_pylist()))
     share = np.array([in_clean.get(t, 0) for t in tokens.tolist()]) / total
     rate = _rate(tokens, weights, drift, share)
-    best = np.array([s[0] if s else 0.0 for s in scores])
     # maximum likelihood of the scale: under chance scale * n * exp(-rate * best) is exponential with mean 1
     scale = float(clean.sum() / max((n * np.exp(-rate * best))[clean].sum(), 1e-9))
     model = Model(tokens, weights, drift, rate, scale)
-    x = np.array([evidence([(0, 0, v) for v in s], int(k), model) for s, k in zip(scores, n)])
+    x = np.array([evidence([(0, 0, b)] if b > 0 else [], int(k), model) for b, k in zip(best, n)])
     intercept, slope = logistic(x, y)
     return Model(tokens, weights, drift, rate, scale, intercept, max(slope, 0.0))
 
 
 def _token_table(like: DataFrame, tokens: np.ndarray) -> DataFrame:
-    return F.broadcast(like.sparkSession.createDataFrame(pa.table({"token": tokens.view(np.int64)})))  # at most MAX_TOKENS
+    return like.sparkSession.createDataFrame(pa.table({"token": tokens.view(np.int64)}))
 
 
 def _score(model: Model, text: str, names: list[str]):
