@@ -16,9 +16,9 @@ from airsight.llm.labelled import logistic, training_texts
 from airsight.llm.shingles import WHITE_SPACE, slices, text_bytes, word_hashes
 from airsight.session import stage
 
-#: Labelled documents to learn from at most, and lines of one; longer documents are not learned from.
+#: Labelled documents to learn from at most, and lines of all of them together.
 MAX_TRAINING_DOCS = 6_000
-MAX_TRAINING_LINES = 400
+MAX_TRAINING_LINES = 300_000
 #: From this score on a document counts as good.
 CUTOFF = 0.5
 #: Gradient steps of a fit, and fits; between them the lines of bad documents are labelled anew.
@@ -174,12 +174,10 @@ def _featured(label: str):
             for piece in slices(batch, "text", 1 << 20):
                 features, length, counts = line_features(piece.column("text"))
                 ends = np.cumsum(counts)[:-1]
-                short = np.flatnonzero(counts <= MAX_TRAINING_LINES)
-                parts, lengths = np.split(features, ends), np.split(length, ends)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("key").take(pa.array(short)), piece.column(label).take(pa.array(short)), pa.array(counts[short]),
-                        pa.array([parts[i].ravel() for i in short], pa.list_(pa.float32())), pa.array([lengths[i] for i in short], pa.list_(pa.int64())),
+                        piece.column("key"), piece.column(label), pa.array(counts),
+                        pa.array([x.ravel() for x in np.split(features, ends)], pa.list_(pa.float32())), pa.array(np.split(length, ends), pa.list_(pa.int64())),
                     ],
                     names=["key", label, "lines", "features", "length"],
                 )
@@ -187,9 +185,19 @@ def _featured(label: str):
     return run
 
 
+def within(lines: np.ndarray, most: int) -> np.ndarray:
+    """Which documents are learned from: in the given order, each that fits the lines still left, whatever its length."""
+    left, kept = most, np.zeros(len(lines), dtype=bool)
+    for i, n in enumerate(lines.tolist()):
+        if n <= left:
+            kept[i] = True
+            left -= n
+    return kept
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text") -> Model:
-    """Fit the field on a bounded sample: tasks make the line features of at most ``MAX_TRAINING_DOCS`` labelled texts of at
-    most ``MAX_TRAINING_LINES`` lines, the driver gets these numbers, never texts.
+    """Fit the field on a bounded sample: tasks make the line features of at most ``MAX_TRAINING_DOCS`` labelled texts, taken in the order of a hash
+    while they have ``MAX_TRAINING_LINES`` lines together; the driver gets these numbers, never texts.
 
     Labels are known of documents only. First every line has the label of its document. Then, ``ROUNDS`` - 1 times, the lines of bad
     documents that the field takes for good are labelled good, but for the document's most doubtful line, and the field is fitted again. A
@@ -197,7 +205,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     """
     texts = training_texts(docs, labels, label, MAX_TRAINING_DOCS, id_col, text)
     kind = f"key binary, {label} int, lines long, features array<float>, length array<long>"
-    sample = stage(texts.select("key", "text", label).mapInArrow(_featured(label), kind), "line-features").orderBy("key").toArrow()
+    featured = stage(texts.select("key", "text", label).mapInArrow(_featured(label), kind), "line-features")
+    sizes = featured.select("key", "lines").orderBy("key").toArrow()  # at most MAX_TRAINING_DOCS
+    kept = within(sizes.column("lines").to_numpy(), MAX_TRAINING_LINES)
+    if not kept.all():
+        chosen = docs.sparkSession.createDataFrame(sizes.select(["key"]).filter(pa.array(kept)))
+        featured = featured.join(chosen, "key", "left_semi")
+    sample = featured.orderBy("key").toArrow()
     y, counts = sample.column(label).to_numpy().astype(float), sample.column("lines").to_numpy()
     width = len(FEATURES)
     if not 0 < y.sum() < len(y):

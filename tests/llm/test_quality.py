@@ -50,6 +50,11 @@ def test_line_features():
     assert column["same_line"].tolist() == [0, 0, 0, 0, 0, 0, 1, 1] and column["distinct"][1] == pytest.approx(1 / 3)
 
 
+def test_the_sample_is_bounded_by_its_lines():
+    assert q.within(np.array([5, 100, 3, 2, 1, 0]), 10).tolist() == [True, False, True, True, False, True]
+    assert not q.within(np.zeros(0, dtype=int), 10).any() and q.within(np.array([10]), 10).all()
+
+
 def test_document_means_weigh_by_length():
     assert q.document_means(np.array([1.0, 0.0, 0.5]), np.array([30, 10, 0]), np.array([2, 1])).tolist() == [0.75, 0.5]
 
