@@ -21,8 +21,8 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source. ``n_chars`` stays that of the document as it came in."""
-    return line_dedup.drop_boilerplate(docs.select(*COLUMNS)).select(*COLUMNS)
+    """Documents without the boilerplate lines of their source, copies of a text counted once. ``n_chars`` stays that of the document as it came in."""
+    return line_dedup.drop_boilerplate(docs.select(*COLUMNS), copies_count=False).select(*COLUMNS)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

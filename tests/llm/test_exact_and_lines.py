@@ -100,6 +100,17 @@ def test_boilerplate_lines(spark):
     assert line_dedup.drop_boilerplate(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 
 
+def test_copies_that_count_once_keep_their_lines(spark):
+    copied = "first line\nsecond line\nmenu"
+    rows = [(i, copied, "a", "x") for i in range(40)] + [(100 + i, f"own {i}\nmenu", "a", "x") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_lines string")
+    every = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(docs).collect()}
+    once = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(docs, copies_count=False).collect()}
+    assert every[0] == "" and once[0] == "first line\nsecond line" and once[100] == every[100] == "own 0"
+    plan = line_dedup.drop_boilerplate(docs, copies_count=False)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
 def test_native_plans(spark):
     """No Python in the plans of the native operators."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

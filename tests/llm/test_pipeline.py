@@ -51,7 +51,7 @@ def expected(rows, items):
     """(doc_id, size, source) of what reaches the mix."""
     rows = [r for r in rows if not BAD & {x.strip(".,").lower() for x in (r[1] or "").split()}]
     pages, count = {}, {}
-    for _, text, _, site, _ in rows:
+    for site, text in {(r[3], r[1] or "") for r in rows}:  # copies count once
         pages[site] = pages.get(site, 0) + 1
         for bare in {x.strip(" \t\r") for x in (text or "").split("\n")} - {""}:
             count[site, bare] = count.get((site, bare), 0) + 1
