@@ -9,6 +9,7 @@ from airsight.catalog.adapters import adapter
 from airsight.catalog.registry import dec, query, snap, sql
 from airsight.functions.prediction import prediction_record as record_of
 from airsight.functions.prediction import probability_percent as percent_of
+from airsight.functions.vectors import argmax, softmax
 from airsight.operators import comparison, metrics
 from airsight.operators.profile import cv_summary
 from airsight.session import stage
@@ -63,6 +64,25 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.regression_metrics(adapter(spark, sf_dir, "forecasts"), "y_true", "y_pred", ["model_name"])
 
 
+@query("regression_metrics_precise", sql(_regression_sql("forecasts", 6, 4), "forecasts"))
+def regression_metrics_precise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the digits of a sequence model's report."""
+    return metrics.regression_metrics(adapter(spark, sf_dir, "forecasts"), "y_true", "y_pred", ["model_name"], digits=6, mape_digits=4)
+
+
+@query("softmax_of_votes", sql(
+    "SELECT o_orderkey, " + ", ".join(f"{dec(f'exp((w{k} - {TOP}) / 10.0::DOUBLE) / total', 6)} AS p{k}" for k in CLASSES) + ", top FROM ("
+    + f"SELECT *, {' + '.join(f'exp((w{k} - {TOP}) / 10.0::DOUBLE)' for k in CLASSES)} AS total, y_pred AS top FROM (SELECT o_orderkey, y_pred, "
+    + ", ".join(WEIGHTS) + " FROM voted))",
+    "votes", VOTED,
+))
+def softmax_of_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities and class of raw scores."""
+    raw = adapter(spark, sf_dir, "votes").select("o_orderkey", F.array(*[F.col(w) / F.lit(10.0) for w in WEIGHTS]).alias("raw"))
+    shares = raw.select("o_orderkey", softmax(F.col("raw")).alias("p"), argmax(F.col("raw")).cast("int").alias("top"))
+    return shares.select("o_orderkey", *[snap(F.col("p")[k], 6).alias(f"p{k}") for k in CLASSES], "top")
+
+
 # --- classification -----------------------------------------------------------
 
 

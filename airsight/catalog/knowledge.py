@@ -12,7 +12,7 @@ from airsight.catalog.registry import dec, query, snap, sql
 from airsight.catalog.tables import WS
 from airsight.functions.vectors import l2_normalize as unit
 from airsight.functions.vectors import norm
-from airsight.operators import retrieval
+from airsight.operators import corpus, retrieval
 from airsight.session import stage
 
 # every vector is a query against all vectors
@@ -70,6 +70,44 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.select("vec_id", "length", F.posexplode_outer("u").alias("i", "x")).withColumn("x", snap("x", 6))
 
 
+@query("vector_topk_pruned", sql(
+    """SELECT count(*) AS queries, CAST(sum(least(5, others)) AS BIGINT) AS exact_pairs, TRUE AS recall_reached
+       FROM (SELECT vec_id, (SELECT count(*) FROM vectors WHERE embedding IS NOT NULL) AS others FROM vectors WHERE vec_id % 50 = 0 AND embedding IS NOT NULL)""",
+    "vectors",
+))
+def vector_topk_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of the pruned search for the ids divisible by 50 against all vectors, measured against the exact search."""
+    vectors = adapter(spark, sf_dir, "vectors").select("vec_id", "embedding")
+    asked = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    pairs = lambda search: stage(search(asked, vectors, "query_id", "vec_id", k=5, threshold=-1.0).select("query_id", "vec_id"), "pairs")
+    exact, pruned = pairs(retrieval.vector_topk), pairs(retrieval.vector_topk_pruned).withColumn("found", F.lit(True))
+    met = exact.join(pruned, ["query_id", "vec_id"], "left")
+    return met.agg(
+        F.count_distinct("query_id").alias("queries"), F.count("*").alias("exact_pairs"), (F.count("found") >= 0.9 * F.count("*")).alias("recall_reached")
+    )
+
+
+EMBEDDING = """
+    tokens AS (
+        SELECT digest, CAST(('0x' || left(md5(t), 8))::BIGINT % 384 AS INTEGER) AS place
+        FROM (SELECT digest, unnest(regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+')) AS t
+              FROM (SELECT DISTINCT sha256(text) AS digest, text FROM files WHERE text IS NOT NULL))),
+    held AS (SELECT digest, place, count(*) AS tf FROM tokens GROUP BY digest, place),
+    idf AS (SELECT place, ln(((SELECT count(DISTINCT text) FROM files) + 1.0::DOUBLE) / (count(*) + 1)) AS idf FROM held GROUP BY place),
+    weighed AS (SELECT digest, place, tf * idf AS w FROM held JOIN idf USING (place))"""
+
+
+@query("text_embedding", sql(
+    f"""SELECT digest, place, {dec('w / sqrt(total)', 5)} AS value
+        FROM (SELECT digest, place, w, sum(w * w) OVER (PARTITION BY digest) AS total FROM weighed) WHERE w > 0""",
+    "files", EMBEDDING,
+))
+def text_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed, weighed unit vectors of every distinct text of the corpus, one row per non-zero component."""
+    vectors = corpus.hashing_vectors(adapter(spark, sf_dir, "files"), "text", 384)
+    return vectors.select("digest", "place", snap("value", 5).alias("value"))
+
+
 @query("vector_topk", sql("SELECT * FROM topk", "vectors", TOPK))
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk(spark, sf_dir)

@@ -498,6 +498,19 @@ def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.fit_min_max(table, SCALED).transform(table).withColumns({c: snap(c, 6) for c in SCALED})
 
 
+@query("minmax_scale_inverse", sql(
+    "SELECT " + ", ".join(["o_orderkey", *[f"{dec(c, 4)} AS {c}" for c in ("predicted", "actual")]]) + " FROM (" +
+    "SELECT o_orderkey, y_pred AS predicted, y_true AS actual FROM forecasts WHERE y_pred IS NOT NULL AND y_true IS NOT NULL)",
+    "forecasts",
+))
+def minmax_scale_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values scaled to 0 to 1 and back."""
+    rows = adapter(spark, sf_dir, "forecasts").select("o_orderkey", F.col("y_pred").alias("predicted"), F.col("y_true").alias("actual"))
+    scaler = cleaning.fit_min_max(rows, ["predicted", "actual"])
+    return scaler.inverse(scaler.transform(rows)).withColumns({c: snap(c, 4) for c in ("predicted", "actual")})
+
+
+
 @query("label_encode", sql(
     f"SELECT {K4}, label, dense_rank() OVER (ORDER BY label) - 1 AS label_index FROM features", "features"
 ))

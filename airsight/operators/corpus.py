@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airsight import config as cfg
 from airsight.functions.text import has_content, strip
+from airsight.session import lookup, stage
 
 
 def document_record(path: Column, content: Column) -> dict[str, Column]:
@@ -128,6 +129,36 @@ def encode_with(
     return chunks.withColumn("embedding", embed(F.col(text)))
 
 
+def hashing_vectors(texts: DataFrame, text: str = "text", dim: int = cfg.EMBEDDING_DIM) -> DataFrame:
+    """(digest, place, value): the non-zero components of a unit vector for every distinct text, in column expressions alone.
+
+    Tokens are runs of characters other than ASCII white space, in small letters; the first 32 bits of a token's MD5 choose its place. A place
+    counts its tokens times ln((texts + 1) / (texts with the place + 1)). Texts are named by the SHA-256 of their bytes, so equal ones are embedded
+    once, and only digests and places are shuffled. Texts without a token, and null, have no vector.
+    """
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = texts.filter(F.col(text).isNotNull()).select(F.sha2(F.col(text), 256).alias("digest"), F.explode(F.concat(tokens, F.array(F.lit("")))).alias("t"))
+    # the empty token stands for the text itself and counts its copies
+    place = F.when(F.col("t") != "", (F.conv(F.left(F.md5("t"), F.lit(8)), 16, 10).cast("bigint") % dim).cast("int"))
+    counted = stage(rows.groupBy("digest", place.alias("place")).agg(F.count("*").alias("n")), "token-places")
+    copies = counted.filter("place IS NULL").select("digest", F.col("n").alias("copies"))
+    held = counted.filter("place IS NOT NULL").join(copies, "digest").select("digest", "place", (F.col("n") / F.col("copies")).alias("tf"))
+    total = F.lit(float(copies.count()))
+    idf = counted.filter("place IS NOT NULL").groupBy("place").agg(F.log((total + 1) / (F.count("*") + 1)).alias("idf"))
+    weighed = held.join(F.broadcast(idf), "place").select("digest", "place", (F.col("tf") * F.col("idf")).alias("w"))  # dim rows
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("digest")))  # dim rows at most
+    unit = weighed.select("digest", "place", (F.col("w") / F.nullif(length, F.lit(0.0))).alias("value"))
+    return unit.filter(F.col("value") > 0)
+
+
+def embed_hashing(chunks: DataFrame, text: str = "text", dim: int = cfg.EMBEDDING_DIM) -> DataFrame:
+    """``chunks`` with an ``embedding`` of ``dim`` floats from ``hashing_vectors``; a text without a token gets zeros."""
+    parts = hashing_vectors(chunks.select(F.col(text)), text, dim).groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("place", "value"))).alias("at"))
+    joined = chunks.withColumn("_digest", F.sha2(F.col(text), 256)).join(lookup(parts, "embeddings").withColumnRenamed("digest", "_digest"), "_digest", "left")
+    value = lambda i: F.coalesce(F.try_element_at("at", i.cast("int")), F.lit(0.0)).cast("float")
+    return joined.select(*[F.col(f"`{c}`") for c in chunks.columns], F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), value).alias("embedding"))
+
+
 def fit_hashing_encoder(chunks: DataFrame, text: str = "text", dim: int = cfg.EMBEDDING_DIM):
     """Built-in encoder: token hashing, inverse document frequency, unit length. Returns a fitted pipeline model."""
     from pyspark.ml import Pipeline

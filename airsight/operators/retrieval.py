@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -189,6 +190,63 @@ def _ranked(best: DataFrame, query_id: str, corpus_id: str, k: int, threshold: f
 
 #: Vectors that cells are fitted on at most, and cells at most.
 CELL_SAMPLE, MAX_CELLS = 100_000, 4096
+#: Queries that recall is measured with, about, and the recall that probes are chosen for.
+CALIBRATION, RECALL = 500, 0.95
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Directions of groups of vectors, and how many of the nearest groups a query asks."""
+
+    centres: np.ndarray
+    probes: int
+
+
+def _cell_order(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Cells of every vector, the nearest first."""
+    if len(centres) == 1:
+        return np.zeros((len(vectors), 1), dtype=np.int32)
+    return np.argsort(-(vectors @ centres.T), axis=1, kind="stable").astype(np.int32)
+
+
+def fit_cells(
+    queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, vector: str = "embedding", k: int = cfg.TOP_K, cells: int | None = None,
+    recall: float = RECALL, calibration: int = CALIBRATION, seed: int = cfg.SEED,
+) -> Cells:
+    """Cells of a corpus (the square root of its size by default, ``MAX_CELLS`` at most) and the probes that reach ``recall``.
+
+    About ``calibration`` queries, chosen by a hash of their id, are answered exactly. Each of their neighbours lies in one cell; the place of that
+    cell in the query's order is the number of probes that finds it, and the least number that finds the wanted share is taken. So probes grow with
+    the cells, and the recall holds for the table at hand, not for a tested size.
+    """
+    queries, corpus = _searchable(queries, query_id, vector), _searchable(corpus, corpus_id, vector)
+    n_corpus, n_queries = corpus.count(), queries.count()
+    n_cells = min(cells or max(1, round(math.sqrt(n_corpus))), MAX_CELLS)
+    centres = _centres(corpus, corpus_id, vector, n_cells, n_corpus, seed)
+    if len(centres) < 2 or not n_queries:
+        return Cells(centres, 1)
+    ring = 1 << 30
+    share = F.pmod(F.xxhash64(F.lit(seed), F.col(query_id)), F.lit(ring)) < int(ring * min(1.0, calibration / n_queries))
+    asked = stage(queries.filter(share).select(query_id, F.col(vector).alias("_asked")), "calibration")
+    exact = vector_topk(asked.withColumnRenamed("_asked", vector), corpus.select(corpus_id, vector), query_id, corpus_id, vector, k, threshold=-1.0)
+    pairs = stage(exact.select(query_id, corpus_id), "exact-neighbours")  # about calibration x k
+    both = pairs.join(asked, query_id).join(corpus.select(corpus_id, F.col(vector).alias("_found")), corpus_id).select("_asked", "_found")
+    shared = corpus.sparkSession.sparkContext.broadcast(centres)  # at most MAX_CELLS rows
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                home = _cell_order(_matrix(batch["_found"]), shared.value)[:, :1]
+                place = (_cell_order(_matrix(batch["_asked"]), shared.value) == home).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64))], names=["place"])
+
+    counts = both.mapInArrow(places, "place long").groupBy("place").agg(F.count("*").alias("n")).orderBy("place").collect()  # a line per cell at most
+    total, seen = sum(r["n"] for r in counts), 0
+    for r in counts:
+        seen += r["n"]
+        if seen >= recall * total:
+            return Cells(centres, r["place"] + 1)
+    return Cells(centres, 1)
 
 
 def _centres(corpus: DataFrame, corpus_id: str, vector: str, cells: int, n_corpus: int, seed: int) -> np.ndarray:
@@ -215,10 +273,7 @@ def _placed_in_cells(rows: DataFrame, key: str, vector: str, centres: np.ndarray
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if len(shared.value) == 1:
-                near = np.zeros((batch.num_rows, 1), dtype=np.int32)
-            else:
-                near = np.argsort(-(_matrix(batch[vector]) @ shared.value.T), axis=1, kind="stable")[:, :probes]
+            near = _cell_order(_matrix(batch[vector]), shared.value)[:, :probes]
             again = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1])))
             yield pa.RecordBatch.from_arrays([*again.columns, pa.array(near.ravel().astype(np.int32))], names=names)
 
@@ -234,20 +289,26 @@ def vector_topk_pruned(
     k: int = cfg.TOP_K,
     threshold: float = cfg.SIMILARITY_THRESHOLD,
     cells: int | None = None,
-    probes: int = 8,
+    probes: int | None = None,
     seed: int = cfg.SEED,
+    fitted: Cells | None = None,
 ) -> DataFrame:
     """Like ``vector_topk`` for many queries over a large corpus, but each query sees its ``probes`` nearest cells only.
 
-    Cells are K-means groups by angle (the square root of the corpus size by default, ``MAX_CELLS`` at most). Every corpus vector is in one
+    Cells are K-means groups by angle. Without ``probes`` their number is that of ``fitted`` or of ``fit_cells``, which measures it for these
+    queries; fit once for many searches. Every corpus vector is in one
     cell. A cell that holds many vectors or is asked by many queries is cut into blocks of ``airsight.maxBroadcastBytes``, and each pair of
     blocks of a cell is one matrix product. Similarities are exact; a neighbour in a cell that was not probed is missed. With
     ``probes`` as large as ``cells`` nothing is missed. Absent ids and vectors are left out as in ``vector_topk``.
     """
     queries, corpus = _searchable(queries, query_id, vector), _searchable(corpus, corpus_id, vector)
     size = corpus.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("dim")).first()
-    n_cells = min(cells or max(1, round(math.sqrt(size["n"]))), MAX_CELLS)
-    centres = _centres(corpus, corpus_id, vector, n_cells, size["n"], seed)
+    if fitted is None and probes is None:
+        fitted = fit_cells(queries, corpus, query_id, corpus_id, vector, k, cells, seed=seed)
+    elif fitted is None:
+        n_cells = min(cells or max(1, round(math.sqrt(size["n"]))), MAX_CELLS)
+        fitted = Cells(_centres(corpus, corpus_id, vector, n_cells, size["n"], seed), probes)
+    centres, probes = fitted.centres, probes or fitted.probes
     asked = stage(_placed_in_cells(queries, query_id, vector, centres, probes), "asked-cells")
     held = stage(_placed_in_cells(corpus, corpus_id, vector, centres, 1), "held-cells")
     per_block = max(1, max_broadcast_bytes(corpus.sparkSession) // ((size["dim"] or 1) * 8))

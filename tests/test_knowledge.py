@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airsight.operators import corpus, retrieval
-from airsight.sources import documents, sinks
+from airsight.sources import documents, sinks, versions
 
 
 def chunks_by_hand(text, size, overlap):
@@ -85,6 +85,23 @@ def test_pruned_search_against_exact(spark, limit):
     assert retrieval.vector_topk_pruned(asked.limit(0), df, "q", "id").count() == 0
 
 
+@pytest.mark.parametrize("n", [400, 4000])
+def test_probes_follow_from_recall(spark, n):
+    """Noise without groups is the hard case: few probes would lose most neighbours, and more cells ask for more probes."""
+    rows = np.random.default_rng(n).normal(size=(n, 12))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "id long, embedding array<double>")
+    asked = df.filter("id % 4 = 0").select(F.col("id").alias("q"), "embedding")
+    cells = retrieval.fit_cells(asked, df, "q", "id", k=5, calibration=150)
+    exact, pruned = (
+        {(r["q"], r["id"]) for r in found.collect()}
+        for found in (
+            retrieval.vector_topk(asked, df, "q", "id", k=5, threshold=-1.0), retrieval.vector_topk_pruned(asked, df, "q", "id", k=5, threshold=-1.0, fitted=cells)
+        )
+    )
+    assert len(exact & pruned) >= 0.9 * len(exact) and 8 <= cells.probes <= len(cells.centres) == round(n**0.5)
+    assert retrieval.fit_cells(asked.limit(0), df, "q", "id").probes == 1 and len(retrieval.fit_cells(asked, df.limit(0), "q", "id").centres) == 1
+
+
 def test_vector_topk_with_text_ids_and_few_rows(spark):
     corpus_df = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0])], "id string, embedding array<double>")
     queries = spark.createDataFrame([("q", [1.0, 0.0])], "q string, embedding array<double>")
@@ -179,9 +196,9 @@ def test_folder_scan_index_and_refresh(spark, tmp_path):
 
     encode = lambda chunks: corpus.encode_with(chunks, lambda ts: np.array([[len(t), 1.0] for t in ts]))
     chunks = corpus.chunk_documents(docs.select("path", "filename", "category", "text"), key="path")
-    sinks.write_index(encode(chunks), str(tmp_path / "index"))
+    sinks.write_index(encode(chunks), str(tmp_path / "index"), "path")
     sinks.write_manifest(docs, str(tmp_path / "manifest"))
-    index = sinks.read_index(spark, str(tmp_path / "index"))
+    index = sinks.read_index(spark, str(tmp_path / "index"), "path")
     assert index.count() == 4 and sinks.read_index(spark, str(tmp_path / "none")) is None
     assert all(abs(sum(x * x for x in r["embedding"]) - 1) < 1e-6 for r in index.collect())
 
@@ -201,6 +218,46 @@ def test_folder_scan_index_and_refresh(spark, tmp_path):
     assert key(fresh) == key(whole) and fresh.count() == 5
 
 
+def test_index_versions(spark, tmp_path, monkeypatch):
+    """Refresh in place, parts that are named and not copied, a refresh that is killed, old versions cleared."""
+    path, encoded = str(tmp_path / "index"), []
+
+    def encode(chunks):
+        encoded.append(chunks.select("path").distinct().count())
+        return corpus.encode_with(chunks, lambda ts: np.array([[len(t), 1.0] for t in ts]))
+
+    def docs(**texts):
+        rows = [(k, str(hash(t)), t, f"{k}.txt", "General") for k, t in texts.items()]
+        return spark.createDataFrame(rows, "path string, hash string, text string, filename string, category string")
+
+    def texts():
+        return sorted((r["path"], r["text"]) for r in sinks.read_index(spark, path, "path").collect())
+
+    assert sinks.read_index(spark, path, "path") is None
+    assert sinks.refresh_index(spark, path, docs(a="one", b="two", blank=" "), "path", encode) == {"added": 3}
+    assert texts() == [("a", "one"), ("b", "two")]
+    assert sinks.refresh_index(spark, path, docs(a="one", b="two", blank=" "), "path", encode) == {"same": 3} and len(encoded) == 1
+    assert sinks.refresh_index(spark, path, docs(a="one", b="2", c="three"), "path", encode) == {"same": 1, "changed": 1, "added": 1, "removed": 1}
+    assert texts() == [("a", "one"), ("b", "2"), ("c", "three")] and encoded == [2, 2]
+    first = {r["_part"] for r in versions.current(spark, path).filter("path = 'a'").collect()}
+    assert len(list((tmp_path / "index" / "parts").iterdir())) == 2 and len(first) == 1
+
+    def killed(frame):
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):  # before anything is written
+        sinks.refresh_index(spark, path, docs(z="new"), "path", killed)
+    number = versions.commit(spark, path, "path", sinks.read_index(spark, path, "path").limit(1))
+    (tmp_path / "index" / "versions" / f"{number:012d}" / "_SUCCESS").unlink()  # killed while the version was written
+    assert texts() == [("a", "one"), ("b", "2"), ("c", "three")]
+
+    more = encode(corpus.chunk_documents(docs(d="four").drop("hash"), key="path"))
+    assert sinks.write_index(sinks.read_index(spark, path, "path").unionByName(more), path, "path") == number + 1  # the index from its own rows
+    assert texts() == [("a", "one"), ("b", "2"), ("c", "three"), ("d", "four")]
+    assert versions.vacuum(spark, path, keep=1) > 0 and len(list((tmp_path / "index" / "parts").iterdir())) == 1
+    assert len(texts()) == 4 and sinks.refresh_index(spark, path, docs(), "path", encode)["removed"] == 4 and texts() == []
+
+
 def test_hashing_encoder(spark):
     df = spark.createDataFrame([("air quality report",), ("water quality",), ("traffic",)], "text string")
     model = corpus.fit_hashing_encoder(df)
@@ -208,6 +265,30 @@ def test_hashing_encoder(spark):
     assert all(len(v) == 384 and abs(sum(x * x for x in v) - 1) < 1e-5 for v in got)
 
 
+def test_hashing_vectors_against_plain(spark):
+    import hashlib
+    import math
+
+    texts = ["Air quality air", "air quality air", "Wasser \xc9t\xe9", "", None, "  ", "air", "air", "x " * 3000]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    counts = {}
+    for t in {t for t in texts if t and t.split()}:
+        at = counts.setdefault(t, {})
+        for token in t.lower().split():
+            place = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 16
+            at[place] = at.get(place, 0) + 1
+    n = len({t for t in texts if t is not None})
+    expected = {}
+    for t, at in counts.items():
+        w = {p: c * math.log((n + 1) / (sum(p in o for o in counts.values()) + 1)) for p, c in at.items()}
+        size = math.sqrt(sum(x * x for x in w.values()))
+        expected[t] = [w.get(p, 0.0) / size for p in range(16)]
+    found = corpus.embed_hashing(rows, "text", 16).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert r["embedding"] == pytest.approx(expected.get(r["text"], [0.0] * 16), abs=1e-6)
+
+
 def test_cited_pattern(spark):
     answer = "See [A b.pdf] [x.toolong] [y.c1] [z.txt]"
     assert re.findall(r"\[([^\[\]]+?\.[a-zA-Z]{2,5})\]", answer) == ["A b.pdf", "z.txt"]
