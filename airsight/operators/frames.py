@@ -1,0 +1,98 @@
+"""Mean, maximum and minimum of long row frames, built from spans of 4, 16, 64, ... rows.
+
+A window function with a moving frame visits every row of the frame again for each row. Here a span of 4 ** k rows is
+made from four spans of 4 ** (k - 1) rows, and a frame from the few spans its width has in base 4: 168 rows are nine lagged
+values after three steps. All steps are lags over one partitioning and one order, so the plan has one
+exchange and one sort. Nothing is subtracted, so a long series loses no digits.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import functions as F
+
+from airsight.operators.cleaning import col
+
+RADIX = 4
+
+
+@dataclass(frozen=True)
+class Frame:
+    """``stat`` (mean, full_mean, max or min) of the rows from ``back`` rows before the current one to ``ahead`` rows after it.
+
+    Both may be negative. Missing values do not count; ``full_mean`` is NULL unless every row of the frame is there and has a value.
+    """
+
+    stat: str
+    back: int
+    ahead: int
+
+    @property
+    def rows(self) -> int:
+        return self.back + self.ahead + 1
+
+
+def spans(rows: int) -> list[tuple[int, int]]:
+    """(level, rows from the last row of the frame back to the last row of the span) of spans that make up ``rows`` rows."""
+    found, back, level = [], 0, 0
+    while rows:
+        rows, digit = divmod(rows, RADIX)
+        for _ in range(digit):
+            found.append((level, back))
+            back += RADIX**level
+        level += 1
+    return found
+
+
+#: Column that a statistic needs, how values join, and what a row beyond the series counts.
+_PARTS = {
+    "sum": (lambda parts: reduce(add, parts), 0.0),
+    "count": (lambda parts: reduce(add, parts), 0),
+    "max": (lambda parts: F.greatest(*parts) if len(parts) > 1 else parts[0], None),
+    "min": (lambda parts: F.least(*parts) if len(parts) > 1 else parts[0], None),
+}
+_NEEDS = {"mean": ("sum", "count"), "full_mean": ("sum", "count"), "max": ("max",), "min": ("min",)}
+
+
+def with_frames(
+    df: DataFrame, window: WindowSpec, value: str, frames: dict[str, Frame], beside: dict[str, Column] | None = None
+) -> DataFrame:
+    """``df`` with a column per frame. ``beside`` are further columns over the same window, put before the frames.
+
+    NULL, NaN and infinite values are missing. A frame without any value gives NULL.
+    """
+    kinds = sorted({kind for f in frames.values() for kind in _NEEDS[f.stat]})
+    number = col(value).cast("double")
+    number = F.when(F.abs(number) < F.lit(float("inf")), number)  # NaN is above infinity
+    first = {"sum": F.coalesce(number, F.lit(0.0)), "count": number.isNotNull().cast("int"), "max": number, "min": number}
+    steps = df.withColumns({f"_{kind}0": first[kind] for kind in kinds})
+
+    def at(kind: str, level: int, back: int) -> Column:
+        name, beyond = f"_{kind}{level}", _PARTS[kind][1]
+        if back == 0:
+            return F.col(name)
+        return (F.lag(name, back, beyond) if back > 0 else F.lead(name, -back, beyond)).over(window)
+
+    levels = 1 + max((level for f in frames.values() for level, _ in spans(f.rows)), default=0)
+    for level in range(1, levels):
+        below = RADIX ** (level - 1)
+        steps = steps.select(
+            "*", *[_PARTS[kind][0]([at(kind, level - 1, i * below) for i in range(RADIX)]).alias(f"_{kind}{level}") for kind in kinds]
+        )
+
+    def whole(kind: str, frame: Frame) -> Column:
+        return _PARTS[kind][0]([at(kind, level, back - frame.ahead) for level, back in spans(frame.rows)])
+
+    def result(frame: Frame) -> Column:
+        if frame.stat in ("max", "min"):
+            return whole(frame.stat, frame)
+        count = whole("count", frame)
+        return F.when(count >= (frame.rows if frame.stat == "full_mean" else 1), whole("sum", frame) / count)
+
+    return steps.select(
+        *[col(c) for c in df.columns], *[c.alias(n) for n, c in (beside or {}).items()], *[result(f).alias(n) for n, f in frames.items()]
+    )

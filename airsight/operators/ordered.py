@@ -11,11 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from airsight.session import lookup, max_group_rows, stage
 
@@ -187,28 +184,34 @@ def sliding(
     build: Callable[[WindowSpec], dict[str, Column]],
     fits: bool = False,
 ) -> DataFrame:
-    """Window expressions that look at most ``before`` rows back and ``after`` rows ahead.
+    """Window expressions that look at most ``before`` rows back and ``after`` rows ahead; ``build`` receives the ordered window and
+    returns the new columns."""
+    add = lambda d, w: d.select("*", *[c.alias(n) for n, c in build(w).items()])
+    return sliding_steps(df, keys, order, before, after, add, fits)
 
-    ``build`` receives the ordered window and returns the new columns. A large key is cut into
-    chunks of consecutive rows; each chunk also receives the few neighbouring rows its frames can reach.
-    """
 
-    def direct(d: DataFrame) -> DataFrame:
-        new = build(Window.partitionBy(*keys).orderBy(*order))
-        return d.select("*", *[c.alias(n) for n, c in new.items()])
+def sliding_steps(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[ColumnLike],
+    before: int,
+    after: int,
+    add: Callable[[DataFrame, WindowSpec], DataFrame],
+    fits: bool = False,
+) -> DataFrame:
+    """Like ``sliding`` for steps that build on each other: ``add`` receives rows and the ordered window and returns all their columns
+    and new ones. Together the steps look at most ``before`` rows back and ``after`` rows ahead.
 
+    A large key is cut into chunks of consecutive rows; each chunk also receives the few neighbouring rows its frames can reach.
+    """
     hot = None if fits else large_groups(df, keys)
     if hot is None:
-        return direct(df)
+        return add(df, Window.partitionBy(*keys).orderBy(*order))
     cold_rows, hot_rows = _split(df, hot, keys)
     spread = _chunks(hot_rows, keys, order, before, after)
-    new = build(Window.partitionBy(*keys, "_chunk").orderBy("_rn"))
-    done = (
-        spread.select("*", *[c.alias(n) for n, c in new.items()])
-        .filter(F.col("_home") == F.col("_chunk"))
-        .drop("_home", "_chunk", "_rn")
-    )
-    return done if cold_rows is None else done.unionByName(direct(cold_rows))
+    done = add(spread, Window.partitionBy(*keys, "_chunk").orderBy("_rn"))
+    done = done.filter(F.col("_home") == F.col("_chunk")).drop("_home", "_chunk", "_rn")
+    return done if cold_rows is None else done.unionByName(add(cold_rows, Window.partitionBy(*keys).orderBy(*order)))
 
 
 def _chunks(
@@ -223,40 +226,3 @@ def _chunks(
         F.array(chunk, F.when(inside >= size - before, chunk + 1), F.when(inside < after, chunk - 1))
     )
     return numbered.withColumn("_home", chunk).withColumn("_chunk", F.explode(copies))
-
-
-def sliding_arrow(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    before: int,
-    after: int,
-    compute: Callable[[pa.Table], dict[str, pa.Array]],
-    names: Sequence[str],
-    fits: bool = False,
-) -> DataFrame:
-    """Like ``sliding`` for wide frames: ``compute`` gets one ordered group and returns the new double columns ``names``.
-
-    A window function visits every row of a moving frame again for each row; incremental kernels over an
-    Arrow table do not, which is an order of magnitude faster for frames of a hundred rows and more.
-    """
-
-    def apply_to(d: DataFrame, group: Sequence[str], by: Sequence[str]) -> DataFrame:
-        sort_keys = [(c, "ascending") for c in by]
-
-        def per_group(table: pa.Table) -> pa.Table:
-            ordered = table.take(pc.sort_indices(table, sort_keys=sort_keys, null_placement="at_start"))
-            for name, values in compute(ordered).items():
-                ordered = ordered.append_column(name, values)
-            return ordered
-
-        new = [T.StructField(n, T.DoubleType()) for n in names]
-        return d.groupBy(*group).applyInArrow(per_group, T.StructType([*d.schema.fields, *new]))
-
-    hot = None if fits else large_groups(df, keys)
-    if hot is None:
-        return apply_to(df, keys, order)
-    cold_rows, hot_rows = _split(df, hot, keys)
-    spread = _chunks(hot_rows, keys, order, before, after)
-    done = apply_to(spread, [*keys, "_chunk"], ["_rn"]).filter("_home = _chunk").drop("_home", "_chunk", "_rn")
-    return done if cold_rows is None else done.unionByName(apply_to(cold_rows, keys, order))
