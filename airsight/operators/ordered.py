@@ -242,12 +242,15 @@ def sliding_arrow(
     """
 
     def apply_to(d: DataFrame, group: Sequence[str], by: Sequence[str]) -> DataFrame:
+        instants = [c for c, kind in d.dtypes if kind == "timestamp"]
         sort_keys = [(c, "ascending") for c in by]
 
         def per_group(table: pa.Table) -> pa.Table:
             ordered = table.take(pc.sort_indices(table, sort_keys=sort_keys, null_placement="at_start"))
             for name, values in compute(ordered).items():
                 ordered = ordered.append_column(name, values)
+            for c in instants:  # they come in the time zone of the session and have to go back in UTC, the same instants
+                ordered = ordered.set_column(ordered.column_names.index(c), c, ordered[c].cast(pa.timestamp("us", "UTC")))
             return ordered
 
         new = [T.StructField(n, T.DoubleType()) for n in names]

@@ -54,6 +54,24 @@ def test_lags_and_rolling(df, frame, route):
     check(past, frame, "v_roll_mean_24", lambda g: g.v.shift(1).rolling(24, min_periods=1).mean())
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Etc/UTC", "Europe/Berlin"])
+def test_instants_in_any_time_zone(spark, zone, route):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.range(150).select(
+            F.lit("x").alias("s"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"), F.timestamp_seconds(F.col("id") * 7).alias("seen"), "id",
+            F.col("id").cast("double").alias("v"),
+        )
+        rolled = timeseries.rolling_features(df, ["s"], ["ts", "id"], "v", [24])
+        assert rolled.dtypes[:5] == df.dtypes
+        got = rolled.select("id", F.unix_seconds("ts"), F.unix_seconds("seen"), "v_roll_min_24").collect()
+        assert sorted(map(tuple, got)) == [(i, i * 3600, i * 7, float(max(0, i - 23))) for i in range(150)]
+        table = timeseries.feature_table(df, ["s"], "ts", ["id"], "v").filter("id = 100").select("hour", F.hour("ts")).first()
+        assert table[0] == table[1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_centered_average(df, frame, route):
     filled = df.fillna(50.0, ["v"])
     full = frame.fillna({"v": 50.0})
