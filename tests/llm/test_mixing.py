@@ -2,8 +2,10 @@
 
 import random
 import re
+from math import gcd
 
 import pytest
+from pyspark.sql import functions as F
 
 from airsight.llm import mixing as m
 
@@ -81,3 +83,53 @@ def test_small_sources_reach_their_targets(spark, shard_words):
         mine = [r for r in found if r["source"] == s]
         shards = 1 + size // shard_words
         assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= m.BLOCK_WORDS * (1 + shards), s  # a block for the source and one a shard
+
+
+def dealt_words(rows, shard_words):
+    """(doc_id, source, size, taken) by lists: every word of a shard stands in a list, and blocks are taken from it one by one.
+
+    ``rows`` are (doc_id, source, size, place in the draw, hash for the shard).
+    """
+    totals = {}
+    for _, source, size, _, _ in rows:
+        totals[source] = totals.get(source, 0) + size
+    names = sorted(totals, key=lambda s: (s is None, s or ""))
+    targets = m.water_fill([totals[s] for s in names], [float(1 + i % 3) for i in range(len(names))])
+    limit = lambda n: -(-3 * n // 64)
+    seats = dealt(targets, round(sum(totals.values()) / 64), [limit(totals[s]) for s in names])
+    out = []
+    for i, source in enumerate(names):
+        shards = {}
+        for row in rows:
+            if row[1] == source:
+                shards.setdefault(row[4] % (1 + totals[source] // shard_words), []).append(row)
+        in_order = sorted(shards)
+        sizes = [sum(r[2] for r in shards[k]) for k in in_order]
+        for k, n, quota in zip(in_order, sizes, dealt(sizes, seats[i], [limit(n) for n in sizes])):
+            members = sorted(shards[k], key=lambda r: (r[3], r[0] is not None, r[0] or 0, r[2]))
+            line = [at for at, r in enumerate(members) for _ in range(r[2])]
+            blocks = [line[b : b + 64] for b in range(0, n, 64)]
+            wanted, taken = min(64 * quota, 3 * n), [0] * len(members)
+            step = max(1, int(len(blocks) * 0.6180339887))
+            while blocks and gcd(step, len(blocks)) != 1:
+                step += 1
+            turns = sorted(range(len(blocks)), key=lambda b: (b * step + m.SEED * (i + 1) + k) % len(blocks))
+            while wanted:
+                for b in turns:
+                    for at in blocks[b][:wanted]:
+                        taken[at] += 1
+                    wanted -= len(blocks[b][:wanted])
+            out += [(r[0], source, r[2], t) for r, t in zip(members, taken)]
+    return out
+
+
+@pytest.mark.parametrize("shard_words", [m.SHARD_WORDS, 5_000, 150])
+def test_whole_mix_equals_dealing_by_lists(spark, shard_words):
+    docs = spark.createDataFrame([r for r in rows() if r[0] != 903] + [(904, "w " * 9_000, "b", "x")], SCHEMA)
+    draws = docs.select("doc_id", "source", m.words(F.col("text")).alias("size")).select(
+        "*", F.xxhash64(F.lit(m.SEED), "doc_id", "size"), F.xxhash64(F.lit(m.SEED + 1), "doc_id", "size")
+    )
+    expected = dealt_words([tuple(r) for r in draws.collect()], shard_words)
+    found = m.mix(docs, shard_words=shard_words).select("doc_id", "source", "size", "taken").collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
+    assert any(t > s for _, _, s, t in expected) and any(0 < t < s for _, _, s, t in expected)
