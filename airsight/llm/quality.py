@@ -37,7 +37,8 @@ FEATURES = [*_TABLES, "length", "words", "word_length", "again", "distinct", "sa
 def line_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature matrix with a row per line, length of every line in bytes, and number of lines of every text.
 
-    Lines stand between line feeds, so a text has one line at least, an empty one if it is empty.
+    Lines stand between line feeds, so a text has one line at least, an empty one if it is empty. A line feed counts as a byte of the
+    line that it ends.
     """
     buffer, edges = text_bytes(column)
     feeds = np.flatnonzero(buffer == 10)
