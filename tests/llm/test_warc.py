@@ -66,6 +66,40 @@ def test_small_volumes(spark, tmp_path):
     assert missing.isEmpty()
 
 
+def test_volumes_end_by_bytes(spark, tmp_path):
+    """Small pieces close a volume early; a record longer than a piece is one of its own; nothing is lost or cut."""
+    rows = [(i, f"http://h/{i}", "é" * (40_000 if i % 9 == 0 else 300) + str(i)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_arc(docs, f"{tmp_path}/arc", 2, limit=5_000)
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "arc").glob("*.gz")]
+    assert len(sizes) > 3 and max(sizes) <= warc.VOLUME_PIECES * 81_000
+    for path in (tmp_path / "arc").glob("*.gz"):
+        content = path.read_bytes()
+        plain = gzip.decompress(content)
+        for offset, version, head, block in warc.arc_records(content):  # offsets that version 2 states are the true ones
+            assert version == 2 and int(head["Offset"]) == offset and plain[offset:].startswith(head["URL"].encode())
+    warc.convert_archives(spark, f"{tmp_path}/arc", f"{tmp_path}/warc", limit=5_000)
+    back = warc.read_warc(spark, f"{tmp_path}/warc").collect()
+    assert sorted((r["page_id"], r["payload_digest"]) for r in back) == sorted((i, hashlib.sha1(h.encode()).hexdigest()) for i, _, h in rows)
+    assert max(len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "warc").glob("*.gz")) <= warc.VOLUME_PIECES * 82_000
+
+
+def test_identifiers_do_not_name_the_folder(spark, tmp_path):
+    docs = spark.createDataFrame([r[:3] for r in pages()], "page_id long, url string, html string").coalesce(1)
+    ids = []
+    for run in ("one", "two"):
+        warc.write_arc(docs, f"{tmp_path}/{run}/arc", 1, records=40)
+        warc.convert_archives(spark, f"{tmp_path}/{run}/arc", f"{tmp_path}/{run}/warc")
+        ids.append(sorted((r["record_id"], str(r["refers_to_id"]), r["payload_digest"]) for r in warc.read_warc(spark, f"{tmp_path}/{run}/warc").collect()))
+    assert ids[0] == ids[1] and len({i for i, _, _ in ids[0]}) == docs.count()
+    # two files of one volume name: still an identifier each
+    warc.write_arc(docs, f"{tmp_path}/both/a", 1, records=40)
+    warc.write_arc(docs, f"{tmp_path}/both/b", 1, records=40)
+    warc.convert_archives(spark, f"{tmp_path}/both", f"{tmp_path}/both-warc")
+    back = warc.read_warc(spark, f"{tmp_path}/both-warc")
+    assert back.count() == 2 * docs.count() == back.select("record_id").distinct().count()
+
+
 def test_versions_and_faults():
     one = b"filedesc://a.arc 0.0.0.0 2006 text/plain 71\n1 0 X\nURL IP-address Archive-date Content-type Archive-length\n"
     length = len(one.split(b"\n", 1)[1])
