@@ -250,7 +250,7 @@ def classified(
     1. Copies collapse to one text. Its MinHash signature gives ``bands`` hashes; texts meet in the buckets they share.
     2. Buckets with one text go. Buckets with the very same texts are one bucket: the one with the least hash.
     3. A bucket is cut into blocks of about ``BLOCK_GRAMS`` n-grams and every pair of its blocks is one task, so that no
-       task grows with the bucket. Tasks compare full n-gram sets and return one row per text, never pairs.
+       task grows with the bucket. Tasks are dealt by ranges of rows, compare full n-gram sets and return one row per text, never pairs.
     4. Components of the linked texts are found by stars over written tables.
 
     Words are runs of characters other than ASCII white space; n-grams are compared by 64-bit hashes. A text of fewer
@@ -276,7 +276,8 @@ def classified(
     )
     texts = keyed.select("key", "text").join(lookup(members.select("key"), "member-keys"), "key", "left_semi")
     texts = texts.groupBy("key").agg(F.first("text").alias("text")).join(members, "key")
-    sets = texts.mapInArrow(_gram_sets(n), "key binary, buckets array<struct<bucket:bigint,blocks:int>>, grams binary")
+    # written, as dealing by ranges looks at the rows before it deals them
+    sets = stage(texts.mapInArrow(_gram_sets(n), "key binary, buckets array<struct<bucket:bigint,blocks:int>>, grams binary"), "gram-sets")
     mine = F.pmod(F.xxhash64("key", "at.bucket"), F.col("at.blocks").cast("long")).cast("int")
     per_bucket = sets.select("key", "grams", F.transform("buckets", lambda b: b["bucket"]).alias("buckets"), F.explode("buckets").alias("at"))
     per_bucket = per_bucket.select("key", "grams", "buckets", "at", mine.alias("mine"))
@@ -286,7 +287,8 @@ def classified(
     tasks = tasks.select(
         "bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), (F.col("mine") <= F.col("other")).alias("is_low"), "key", "buckets", "grams"
     )
-    together = tasks.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    # by ranges of about as many rows each, so that the many tasks of a large bucket stand in line and no two of them meet by chance
+    together = tasks.repartitionByRange("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     linked = stage(together.mapInArrow(_verify(threshold), "key binary, links long, root binary"), "links")
     roots = components(linked.select("key", "root"))
     counts = linked.groupBy("key").agg(F.sum("links").alias("links"))

@@ -68,6 +68,43 @@ def test_join_equals_all_pairs(spark, monkeypatch, block):
     assert sorted((tuple(r) for r in ngram_join.ngram_join(docs).collect()), key=repr) == brute(rows)
 
 
+def test_tasks_of_a_large_bucket_are_dealt_evenly(spark, monkeypatch):
+    """Near copies in one bucket: blocks of a few texts, dealt by ranges, leave no task far above the others."""
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 2_000)
+    dealt, verify = [], ngram_join._verify
+
+    def counted(threshold):
+        run = verify(threshold)
+
+        def rows(batches):
+            batches = list(batches)
+            yield from run(batches)
+            size = b"#%d" % sum(b.num_rows for b in batches)
+            yield pa.RecordBatch.from_arrays([pa.array([size], pa.binary()), pa.array([0], pa.int64()), pa.array([b"#"], pa.binary())], names=["key", "links", "root"])
+
+        return rows
+
+    def seen(df, label):
+        out = stage(df, label)
+        if label == "links":
+            dealt.extend(int(r["key"][1:]) for r in out.collect() if bytes(r["root"]) == b"#")
+            return out.filter("root <> X'23'")
+        return out
+
+    stage = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "_verify", counted)
+    monkeypatch.setattr(ngram_join, "stage", seen)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        base = [f"w{i}" for i in range(100)]
+        docs = spark.createDataFrame([(i, " ".join([*base, f"x{i}"]), "x", 1) for i in range(300)], SCHEMA)
+        got = ngram_join.ngram_join(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r["links"] for r in got} == {299} and {r["class_id"] for r in got} == {299}
+    assert len(dealt) == 8 and max(dealt) <= 2 * sum(dealt) / len(dealt)
+
+
 def test_one_document_of_each_class_stays(spark):
     rows = corpus()
     docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA)
