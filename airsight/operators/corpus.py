@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsight import config as cfg
@@ -129,26 +132,52 @@ def encode_with(
     return chunks.withColumn("embedding", embed(F.col(text)))
 
 
+#: Tokens whose places a task remembers, and rows of a batch that it returns.
+KNOWN_TOKENS, VECTOR_ROWS = 100_000, 1000
+
+
+def _token_places(dim: int):
+    """(digest, token bytes of the text) to (digest, places, counts): how many tokens of a text each place has, in the order of the places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = lru_cache(KNOWN_TOKENS)(lambda token: int.from_bytes(md5(token, usedforsecurity=False).digest()[:4], "big") % dim)
+        for batch in batches:
+            for low in range(0, batch.num_rows, VECTOR_ROWS):
+                piece, ends, places, counts = batch.slice(low, VECTOR_ROWS), [0], [], []
+                for text in piece.column("lowered"):
+                    # without an argument, bytes are split at ASCII white space alone
+                    n = np.bincount([place(t) for t in text.as_py().split()], minlength=dim) if text.is_valid else np.zeros(dim, dtype=np.int64)
+                    at = np.flatnonzero(n)
+                    places.append(at)
+                    counts.append(n[at])
+                    ends.append(ends[-1] + len(at))
+                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(x), kind)) for x, kind in ((places, pa.int32()), (counts, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([piece.column("digest"), *lists], names=["digest", "places", "counts"])
+
+    return run
+
+
 def hashing_vectors(texts: DataFrame, text: str = "text", dim: int = cfg.EMBEDDING_DIM) -> DataFrame:
-    """(digest, place, value): the non-zero components of a unit vector for every distinct text, in column expressions alone.
+    """(digest, place, value): the non-zero components of a unit vector for every distinct text.
 
     Tokens are runs of characters other than ASCII white space, in small letters; the first 32 bits of a token's MD5 choose its place. A place
     counts its tokens times ln((texts + 1) / (texts with the place + 1)). Texts are named by the SHA-256 of their bytes, so equal ones are embedded
-    once, and only digests and places are shuffled. Texts without a token, and null, have no vector.
+    once. Tokens are counted where the text is read: what is shuffled is a digest with at most ``dim`` counts per text, never a token. Texts without a
+    token, and null, have no vector.
     """
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    rows = texts.filter(F.col(text).isNotNull()).select(F.sha2(F.col(text), 256).alias("digest"), F.explode(F.concat(tokens, F.array(F.lit("")))).alias("t"))
-    # the empty token stands for the text itself and counts its copies
-    place = F.when(F.col("t") != "", (F.conv(F.left(F.md5("t"), F.lit(8)), 16, 10).cast("bigint") % dim).cast("int"))
-    counted = stage(rows.groupBy("digest", place.alias("place")).agg(F.count("*").alias("n")), "token-places")
-    copies = counted.filter("place IS NULL").select("digest", F.col("n").alias("copies"))
-    held = counted.filter("place IS NOT NULL").join(copies, "digest").select("digest", "place", (F.col("n") / F.col("copies")).alias("tf"))
-    total = F.lit(float(copies.count()))
-    idf = counted.filter("place IS NOT NULL").groupBy("place").agg(F.log((total + 1) / (F.count("*") + 1)).alias("idf"))
-    weighed = held.join(F.broadcast(idf), "place").select("digest", "place", (F.col("tf") * F.col("idf")).alias("w"))  # dim rows
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("digest")))  # dim rows at most
-    unit = weighed.select("digest", "place", (F.col("w") / F.nullif(length, F.lit(0.0))).alias("value"))
-    return unit.filter(F.col("value") > 0)
+    rows = texts.filter(F.col(text).isNotNull()).select(F.sha2(F.col(text), 256).alias("digest"), F.lower(text).cast("binary").alias("lowered"))
+    placed = rows.mapInArrow(_token_places(dim), "digest string, places array<int>, counts array<long>")
+    counted = stage(placed.groupBy("digest").agg(F.first("places").alias("places"), F.first("counts").alias("counts")), "token-places")
+    total = F.lit(float(counted.count()))
+    idf = counted.select(F.explode("places").alias("place")).groupBy("place").agg(F.log((total + 1) / (F.count("*") + 1)).alias("idf"))
+    known = idf.agg(F.map_from_entries(F.collect_list(F.struct("place", "idf"))).alias("_known"))  # one row, dim entries
+    dense = known.select(F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.try_element_at("_known", i)).alias("_idf"))
+    joined = counted.crossJoin(F.broadcast(dense))
+    weighed = joined.select("digest", "places", F.zip_with("places", "counts", lambda p, n: n * F.get("_idf", p)).alias("w"))
+    length = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, w: s + w * w))
+    sized = weighed.select("digest", "places", "w", F.nullif(length, F.lit(0.0)).alias("_length"))
+    unit = sized.select("digest", "_length", F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("w").alias("w"))))
+    return unit.select("digest", "place", (F.col("w") / F.col("_length")).alias("value")).filter(F.col("value") > 0)
 
 
 def embed_hashing(chunks: DataFrame, text: str = "text", dim: int = cfg.EMBEDDING_DIM) -> DataFrame:

@@ -289,6 +289,21 @@ def test_hashing_vectors_against_plain(spark):
         assert r["embedding"] == pytest.approx(expected.get(r["text"], [0.0] * 16), abs=1e-6)
 
 
+def test_tokens_are_counted_where_texts_are_read(spark, monkeypatch):
+    """What is shuffled has a row per text, not one per token or place; white space other than ASCII parts no tokens."""
+    import hashlib
+
+    texts = ["a\x0bb\x0cc\u00a0d\u2003e\x1cf\x85g \u0130x \u03a3\u03a3", "one two three four", "one two three four", "", None]
+    kept, keep = [], corpus.stage
+    monkeypatch.setattr(corpus, "stage", lambda df, label: kept.append(keep(df, label)) or kept[-1])
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    places = {(r["digest"], r["place"]) for r in corpus.hashing_vectors(rows, "text", 64).collect()}
+    assert kept[0].count() == 3
+    native = rows.selectExpr("sha2(text, 256) AS digest", r"explode(regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+', 0)) AS t").collect()
+    assert len({r["t"] for r in native}) == 9
+    assert places == {(r["digest"], int(hashlib.md5(r["t"].encode()).hexdigest()[:8], 16) % 64) for r in native}
+
+
 def test_cited_pattern(spark):
     answer = "See [A b.pdf] [x.toolong] [y.c1] [z.txt]"
     assert re.findall(r"\[([^\[\]]+?\.[a-zA-Z]{2,5})\]", answer) == ["A b.pdf", "z.txt"]
