@@ -44,9 +44,13 @@ def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 class _Best:
-    """The k best (similarity, id) per query seen so far; equal similarities go to the smaller id."""
+    """The k best (similarity, id) per query seen so far; equal similarities go to the smaller id.
 
-    cells = 4_000_000  # similarities held at a time
+    The first rows set a floor for every query. Of the others, products in single precision tell which may reach the floor, and only these few are
+    computed again in double precision and ranked. ``slack`` is more than single precision can be wrong by, so no row is lost.
+    """
+
+    cells, first = 4_000_000, 16  # similarities held at a time; rows that set the floor
 
     def __init__(self, n_queries: int, k: int):
         self.k, self.sims, self.keys = k, np.full((n_queries, k), -np.inf), None
@@ -54,30 +58,36 @@ class _Best:
     def add(self, queries: np.ndarray, rows: np.ndarray, keys: np.ndarray) -> None:
         if self.keys is None:
             self.keys = np.zeros(self.sims.shape, dtype=keys.dtype)
-        best_keys = np.zeros(self.sims.shape, dtype=np.result_type(self.keys, keys))
-        best_sims = np.empty(self.sims.shape)
-        tile = max(1, self.cells // len(rows))
-        for at in range(0, len(queries), tile):
-            part = slice(at, at + tile)
-            sims, found = self._of_block(queries[part] @ rows.T, keys)
-            sims, found = np.hstack([self.sims[part], sims]), np.hstack([self.keys[part], found])
-            order = np.lexsort((found, -np.round(sims, 10)), axis=1)[:, : self.k]
-            best_sims[part] = np.take_along_axis(sims, order, axis=1)
-            best_keys[part] = np.take_along_axis(found, order, axis=1)
-        self.sims, self.keys = best_sims, best_keys
-
-    def _of_block(self, similarity: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        shown = np.round(similarity, 10)
-        n, k = shown.shape[1], min(self.k, shown.shape[1])
-        limit = np.partition(shown, n - k, axis=1)[:, n - k]
-        q, c = np.nonzero(shown >= limit[:, None])
-        order = np.lexsort((keys[c], -shown[q, c], q))
-        q, c = q[order], c[order]
+        self.keys = self.keys.astype(np.result_type(self.keys, keys), copy=False)
+        slack = (rows.shape[1] + 8) * 2.0**-23 + 1e-9
+        asked, known = queries.astype(np.float32), rows.astype(np.float32)
+        low, width = 0, self.first
+        while low < len(rows):
+            some = slice(low, low + width)
+            tile = max(1, self.cells // width)
+            for at in range(0, len(queries), tile):
+                part = slice(at, at + tile)
+                floor = (self.sims[part, -1] - slack).astype(np.float32)
+                q, c = np.nonzero(asked[part] @ known[some].T >= floor[:, None])
+                if len(q):
+                    self._rank(at + q, low + c, queries, rows, keys)
+            low, width = low + width, min(4096, 2 * width)
+
+    def _rank(self, q: np.ndarray, c: np.ndarray, queries: np.ndarray, rows: np.ndarray, keys: np.ndarray) -> None:
+        """Enter pairs of queries and rows, in the order of the queries, in the lists of their queries."""
+        step = max(1, self.cells // rows.shape[1])
+        sims = np.concatenate([np.einsum("ij,ij->i", queries[q[i : i + step]], rows[c[i : i + step]]) for i in range(0, len(q), step)])
+        last, shown = self.sims[q, -1], np.round(sims, 10)
+        enters = (shown > np.round(last, 10)) | (np.isneginf(last)) | ((shown == np.round(last, 10)) & (keys[c] < self.keys[q, -1]))
+        q, c, sims = q[enters], c[enters], sims[enters]
+        mine = np.unique(q)
+        q, sims = np.concatenate([np.repeat(mine, self.k), q]), np.concatenate([self.sims[mine].ravel(), sims])
+        found = np.concatenate([self.keys[mine].ravel(), keys[c]])
+        order = np.lexsort((found, -np.round(sims, 10), q))
+        q, sims, found = q[order], sims[order], found[order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
-        q, c, place = q[place < k], c[place < k], place[place < k]
-        sims, found = np.full((len(shown), self.k), -np.inf), np.zeros((len(shown), self.k), dtype=keys.dtype)
-        sims[q, place], found[q, place] = similarity[q, c], keys[c]
-        return sims, found
+        best = place < self.k  # a query has k entries at least, if only empty ones
+        self.sims[mine], self.keys[mine] = sims[best].reshape(-1, self.k), found[best].reshape(-1, self.k)
 
     def columns(self, query_ids: np.ndarray) -> list[pa.Array]:
         q, place = np.nonzero(self.sims > -np.inf)
@@ -108,11 +118,15 @@ def _against_broadcast(queries, corpus, query_id, corpus_id, vector, k, schema):
         if best.keys is not None:
             yield pa.RecordBatch.from_arrays(best.columns(ids), names=schema.names)
 
-    return corpus.select(corpus_id, vector).mapInArrow(search, schema)
+    # a small file is one partition, but every core can compare a part of it
+    return corpus.select(corpus_id, vector).repartition(queries.sparkSession.sparkContext.defaultParallelism).mapInArrow(search, schema)
 
 
 def _against_blocks(queries, corpus, query_id, corpus_id, vector, k, schema, n_queries, n_corpus, rows_per_block):
-    """Many queries: both sides are cut into blocks and each pair of blocks is one matrix product."""
+    """Many queries: both sides are cut into blocks of at most ``rows_per_block``, so many that every core has a few pairs of them, and each
+    pair is one matrix product."""
+    least = math.ceil(math.sqrt(4 * queries.sparkSession.sparkContext.defaultParallelism))
+    rows_per_block = max(1, min(rows_per_block, math.ceil(max(n_queries, n_corpus) / least)))
     q_blocks, c_blocks = math.ceil(n_queries / rows_per_block), math.ceil(n_corpus / rows_per_block)
     block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
     left = queries.select(

@@ -58,6 +58,24 @@ def test_vector_topk(spark, limit):
     assert mine == nearest_by_hand(queries, rows, 5, 0.3)
 
 
+def test_few_pairs_are_ranked(monkeypatch):
+    """Beside the rows that set the floor, only pairs near a query's best are ranked; ties and copies go to the smaller id, in any order of adding."""
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(6000, 16))
+    rows[1000:1500] = rows[7]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    asked, keys = rows[:200], rng.permutation(6000)
+    ranked, rank = [], retrieval._Best._rank
+    monkeypatch.setattr(retrieval._Best, "_rank", lambda self, q, c, *rest: ranked.append(len(q)) or rank(self, q, c, *rest))
+    monkeypatch.setattr(retrieval._Best, "cells", 50_000)
+    best = retrieval._Best(200, 3)
+    for part in np.array_split(np.arange(6000), 4):
+        best.add(asked, rows[part], keys[part])
+    shown = np.round(asked @ rows.T, 10)
+    expected = [keys[np.lexsort((keys, -line))[:3]].tolist() for line in shown]
+    assert best.keys.tolist() == expected and 0 < sum(ranked) < 200 * 6000 / 20
+
+
 @pytest.mark.parametrize("limit", [None, "20000"])
 def test_pruned_search_against_exact(spark, limit):
     rng = np.random.default_rng(5)
